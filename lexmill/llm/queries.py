@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.chunking import piece_counts, split_pieces
+from lexmill.llm.vocabulary import map_chambers
 from lexmill.plans.registry import Registry
 from lexmill.sources.tables import table
 
@@ -59,3 +60,24 @@ def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
         )
         out = one if out is None else out.unionByName(one)
     return out
+
+
+_P1 = (("decisions", "chamber"), ("revue_decisions", "chamber_raw"))
+
+
+@registry.query()
+def p1_found(spark: SparkSession, directory: str) -> DataFrame:
+    reference = table(spark, directory, "chamber_ref")
+    labels = [x for r in reference.select("label_ar", "label_fr").collect() for x in r if x is not None]
+    out = None
+    for name, field in _P1:
+        typed = (
+            table(spark, directory, name)
+            .select(F.lit(name).alias("table_name"), F.col("id").alias("row_id"), F.col(field).alias("value"))
+            .filter(F.col("value").isNotNull() & ~F.col("value").isin(labels))
+        )
+        one = map_chambers(typed, "value", reference).select(
+            "table_name", "row_id", F.coalesce(F.get("chambers", F.lit(0))["entry_id"], F.lit(0)).alias("chamber_id")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
