@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.chunking import piece_counts, split_pieces
+from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.vocabulary import map_chambers
 from lexmill.plans.registry import Registry
 from lexmill.sources.tables import table
@@ -81,3 +82,26 @@ def p1_found(spark: SparkSession, directory: str) -> DataFrame:
         )
         out = one if out is None else out.unionByName(one)
     return out
+
+
+_P7 = (("documents", "full_text", "doc_id"), ("revue_index", "normalized_text", "id"), ("decisions", "subject", "id"))
+
+
+@registry.query()
+def p7_found(spark: SparkSession, directory: str) -> DataFrame:
+    out = None
+    for name, field, row_id in _P7:
+        one = suspect_forms(table(spark, directory, name), row_id, field).filter("changed")
+        one = one.select(F.lit(name).alias("table_name"), "row_id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@registry.query()
+def p7_forms(spark: SparkSession, directory: str) -> DataFrame:
+    out = None
+    for name, field, row_id in _P7:
+        one = consistent_forms(table(spark, directory, name), row_id, field)
+        one = one.select(F.lit(name).alias("table_name"), "row_id", "form", "changed")
+        out = one if out is None else out.unionByName(one)
+    return out
