@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.llm.budget import budget_totals, token_budget
 from lexmill.llm.chunking import piece_counts, split_pieces
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
+from lexmill.llm.mixing import mix_shares, mix_sources, token_table
+from lexmill.llm.packing import container_texts, container_use, containers, sized_items
 from lexmill.llm.vocabulary import map_chambers
 from lexmill.plans.registry import Registry
 from lexmill.sources.tables import table
@@ -105,3 +108,58 @@ def p7_forms(spark: SparkSession, directory: str) -> DataFrame:
         one = one.select(F.lit(name).alias("table_name"), "row_id", "form", "changed")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def _budget(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents")
+    return token_budget(documents, "doc_id", "full_text", "source", "language", "document_type")
+
+
+@registry.query()
+def p6_tokens(spark: SparkSession, directory: str) -> DataFrame:
+    return _budget(spark, directory)
+
+
+@registry.query()
+def p6_totals(spark: SparkSession, directory: str) -> DataFrame:
+    return budget_totals(_budget(spark, directory))
+
+
+def _containers(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame, int]:
+    documents = table(spark, directory, "documents")
+    capacity, _ = size_limit(spark, directory, "documents", "text", "token")
+    items = sized_items(documents, "doc_id", "text", capacity)
+    return containers(items, capacity, documents.count()), documents, capacity
+
+
+@registry.query()
+def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
+    return _containers(spark, directory)[0]
+
+
+@registry.query()
+def p8_use(spark: SparkSession, directory: str) -> DataFrame:
+    packed, _, capacity = _containers(spark, directory)
+    return container_use(packed, capacity)
+
+
+@registry.query()
+def p8_texts(spark: SparkSession, directory: str) -> DataFrame:
+    packed, documents, _ = _containers(spark, directory)
+    return container_texts(packed, documents, "doc_id", "text")
+
+
+def _mix(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    targets = table(spark, directory, "mix_targets")
+    tokens = token_table(table(spark, directory, "documents"), "doc_id", "source", "text")
+    return mix_sources(tokens, targets), tokens, targets
+
+
+@registry.query()
+def p9_selection(spark: SparkSession, directory: str) -> DataFrame:
+    return _mix(spark, directory)[0]
+
+
+@registry.query()
+def p9_shares(spark: SparkSession, directory: str) -> DataFrame:
+    return mix_shares(*_mix(spark, directory))
