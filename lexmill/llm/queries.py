@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.budget import budget_totals, token_budget
+from lexmill.llm.budget import budget_totals, language_code, token_budget
 from lexmill.llm.chunking import piece_counts, split_pieces
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.mixing import mix_shares, mix_sources, token_table
 from lexmill.llm.packing import container_texts, container_use, containers, sized_items
+from lexmill.llm.truncation import ending_odds, truncated, truncation_rates
 from lexmill.llm.vocabulary import map_chambers
 from lexmill.plans.registry import Registry
+from lexmill.session import checkpointed
 from lexmill.sources.tables import table
 
 registry = Registry()
@@ -163,3 +165,18 @@ def p9_selection(spark: SparkSession, directory: str) -> DataFrame:
 @registry.query()
 def p9_shares(spark: SparkSession, directory: str) -> DataFrame:
     return mix_shares(*_mix(spark, directory))
+
+
+def _endings(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents")
+    return truncated(checkpointed(ending_odds(documents, "doc_id", "text", language_code(F.col("language")))))
+
+
+@registry.query()
+def p10_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _endings(spark, directory).filter("is_cut").select("doc_id")
+
+
+@registry.query()
+def p10_rates(spark: SparkSession, directory: str) -> DataFrame:
+    return truncation_rates(table(spark, directory, "documents"), "doc_id", "source", "text", _endings(spark, directory))
