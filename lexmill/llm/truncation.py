@@ -235,6 +235,7 @@ def _log_odds(seen: Column) -> Column:
 
     def last(a: Column) -> Column:
         p = (a["e"] + PRIOR * a["p"]) / (a["e"] + a["m"] + PRIOR)
+        p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), p))
         return F.log(p / (1 - p))
 
     return F.aggregate(seen, start, refine, last)
