@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.budget import budget_totals, language_code, token_budget
 from lexmill.llm.chunking import piece_counts, split_pieces
+from lexmill.llm.linkage import decision_attributes, index_attributes, link
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.mixing import mix_shares, mix_sources, token_table
 from lexmill.llm.packing import container_texts, container_use, containers, sized_items
@@ -180,3 +181,20 @@ def p10_found(spark: SparkSession, directory: str) -> DataFrame:
 @registry.query()
 def p10_rates(spark: SparkSession, directory: str) -> DataFrame:
     return truncation_rates(table(spark, directory, "documents"), "doc_id", "source", "text", _endings(spark, directory))
+
+
+def _links(spark: SparkSession, directory: str) -> DataFrame:
+    reference = table(spark, directory, "chamber_ref")
+    left = index_attributes(table(spark, directory, "revue_index"), reference)
+    right = decision_attributes(table(spark, directory, "decisions"), reference)
+    return link(left, right)
+
+
+@registry.query()
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _links(spark, directory).select(F.col("left_id").alias("index_id"), F.col("right_id").alias("decision_id"))
+
+
+@registry.query()
+def p2_confidence(spark: SparkSession, directory: str) -> DataFrame:
+    return _links(spark, directory).select(F.col("left_id").alias("index_id"), F.col("right_id").alias("decision_id"), "confidence")
