@@ -11,6 +11,7 @@ from lexmill.llm.linkage import decision_attributes, index_attributes, link
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.mixing import mix_shares, mix_sources, token_table
 from lexmill.llm.packing import container_texts, container_use, containers, sized_items
+from lexmill.llm.scans import edited, scanned_texts, train_editor
 from lexmill.llm.truncation import ending_odds, truncated, truncation_rates
 from lexmill.llm.vocabulary import map_chambers
 from lexmill.plans.registry import Registry
@@ -198,3 +199,20 @@ def p2_found(spark: SparkSession, directory: str) -> DataFrame:
 @registry.query()
 def p2_confidence(spark: SparkSession, directory: str) -> DataFrame:
     return _links(spark, directory).select(F.col("left_id").alias("index_id"), F.col("right_id").alias("decision_id"), "confidence")
+
+
+def _edited(spark: SparkSession, directory: str) -> DataFrame:
+    chambers = table(spark, directory, "chamber_ref").select("chamber_id", "label_ar", "label_fr").collect()  # a fixed list
+    labels = [(c["chamber_id"], x) for c in chambers for x in (c["label_ar"], c["label_fr"]) if x]
+    rows = scanned_texts(table(spark, directory, "revue_decision_texts"), table(spark, directory, "revue_index"))
+    return edited(rows, train_editor(rows, [x for _, x in labels], labels))
+
+
+@registry.query()
+def p3_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _edited(spark, directory).filter("kind IS NOT NULL").select("table_name", "row_id", "line_no", "kind")
+
+
+@registry.query()
+def p3_repaired(spark: SparkSession, directory: str) -> DataFrame:
+    return _edited(spark, directory).filter("kind IS NULL").select("table_name", "row_id", "repaired")

@@ -122,11 +122,11 @@ class Automaton:
 class ReferenceTrie:
     """Spellings of entries; ``entries``: (id, spelling) pairs with aliases among them."""
 
-    def __init__(self, entries: Iterable[tuple[int, str]]):
+    def __init__(self, entries: Iterable[tuple[int, str]], letters: Callable[[str], str] = fold):
         self.root: dict = {}
         for entry, spelling in entries:
             node = self.root
-            for c in fold(spelling):
+            for c in letters(spelling):
                 node = node.setdefault(c, {})
             if node is not self.root:
                 node.setdefault("", set()).add(entry)
