@@ -62,9 +62,9 @@ LEAST_TEXTS = 200
 STOPS = np.array([ord(c) for c in ".!?؟"], np.uint32)
 DOTS = re.compile(r"([._])\1{3,}$")
 #: What a transfer leaves behind a cut (fixed values).
-MARKS = re.compile(r"(?:\s*[\[(](?:\.\.\.|…)[\])]|…|(?<![.\s])\.\.\.|�+|(?<=\w)-|(?<=\w )-)$")
+MARKS = re.compile(r"(?:\s*[\[(](?:\.\.\.|…)[\])]|…|(?<!\.)\.\.\.|�+|(?<=\w)-|(?<=\w )-)$")
 #: The same for the JVM, with blanks and tabs that no complete text ends with.
-MARKED_END = "(?:[\\[(](?:\\.\\.\\.|…)[\\])]|…|(?<![.\\s])\\.\\.\\.|\ufffd|(?<=\\w)-|(?<=\\w )-|[ \t\u00a0])$"
+MARKED_END = "(?:[\\[(](?:\\.\\.\\.|…)[\\])]|…|(?<!\\.)\\.\\.\\.|\ufffd|(?<=\\w)-|(?<=\\w )-|[ \t\u00a0])$"
 _SUSPECT = re.compile(SUSPECT)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
