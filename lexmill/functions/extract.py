@@ -206,7 +206,7 @@ def tree(html: str) -> Node:
 def _clean(text: str | None) -> str | None:
     if text is None:
         return None
-    text = re.sub("[  -​  　﻿]", " ", text).replace("\r\n", "\n").replace("\r", "\n")
+    text = re.sub("[\u00a0\u2000-\u200b\u202f\u205f\u3000\ufeff]", " ", text).replace("\r\n", "\n").replace("\r", "\n")
     for forms, letters in (("ﻵﻶﻻﻼ", "لا"), ("ﻷﻸ", "لأ"), ("ﻹﻺ", "لإ")):
         text = re.sub(f"[{forms}]", letters, text)
     text = "\n".join(re.sub(r"[ \t]+", " ", line).strip() for line in text.split("\n"))
