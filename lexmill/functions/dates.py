@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions.fixed import MONTHS_AR, MONTHS_COUNCIL, MONTHS_FR
-from lexmill.functions.text import clean_text, plain_digits, strip
+from lexmill.functions.text import clean_text, let, plain_digits, strip
 
 
 def padded(number: Column, width: int) -> Column:
@@ -64,16 +64,19 @@ def _in_range(year: Column, month: Column, day: Column) -> Column:
 
 def normalize_date(raw: Column, day_first: bool = True) -> Column:
     """DAT-03: a numeric date in either order, ISO, else null."""
-    text = clean_text(raw)
-    return F.coalesce(_ymd(text, "-/."), _dmy(text, "-/.", day_first))
+    return let(clean_text(raw), lambda text: F.coalesce(_ymd(text, "-/."), _dmy(text, "-/.", day_first)))
 
 
 def council_date(raw: Column) -> Column:
     """DAT-04: a date of the administrative court's pages: month by name, then numeric orders."""
-    text = clean_text(raw)
     pattern = rf"(\d{{1,2}})\s+({'|'.join(MONTHS_COUNCIL)})\s+(\d{{4}})"
-    named = F.concat(_found(text, pattern, 3), F.lit("-"), _month(F.regexp_extract(text, pattern, 2), MONTHS_COUNCIL), F.lit("-"), _day(_found(text, pattern, 1)))
-    return F.coalesce(named, _ymd(text, "/-"), _dmy(text, "/-"))
+
+    def read(text: Column) -> Column:
+        month = _month(F.regexp_extract(text, pattern, 2), MONTHS_COUNCIL)
+        named = F.concat(_found(text, pattern, 3), F.lit("-"), month, F.lit("-"), _day(_found(text, pattern, 1)))
+        return F.coalesce(named, _ymd(text, "/-"), _dmy(text, "/-"))
+
+    return let(clean_text(raw), read)
 
 
 def first_year(raw: Column) -> Column:

@@ -10,6 +10,7 @@ SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029
 
 def portable(pattern: str) -> str:
     """``\\s`` and ``\\S`` spelled out, in brackets and outside."""
+    pattern = pattern.replace(r"[\s\S]", r"[\x{0}-\x{10FFFF}]")
     out, inside, i = [], False, 0
     while i < len(pattern):
         two = pattern[i : i + 2]

@@ -13,6 +13,11 @@ from pyspark.sql.types import StringType
 from lexmill.functions.fixed import ARABIC_MARKS, DIGITS, EASTERN_DIGITS, LIGATURES, ODD_SPACES, STRIP
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at either end (``trim`` only knows the space)."""
     return F.regexp_replace(text, rf"\A[{STRIP}\n]+|[{STRIP}\n]+\z", "")

@@ -4,7 +4,7 @@ import importlib
 
 from lexmill.plans.registry import Registry
 
-MODULES = ("references",)
+MODULES = ("references", "texts")
 
 
 def registries() -> list[Registry]:
