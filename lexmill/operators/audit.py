@@ -83,7 +83,7 @@ def coverage(rows: DataFrame, key: list[str], status: str, known: tuple[str, ...
     """AGG-07: rows per key and status, known statuses always, others appended."""
     found = [r[0] for r in rows.filter(F.col(status).isNotNull()).select(status).distinct().limit(1000).collect()]  # statuses are few
     order = [*known, *sorted(set(found) - set(known))]
-    return rows.groupBy(*key).pivot(status, order).agg(F.count("*")).fillna(0, order)
+    return rows.groupBy(*key).pivot(status, order).agg(F.count(F.lit(1))).fillna(0, order)
 
 
 def value_row(name: str, frame: DataFrame, value: Column, good: Column | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import importlib
 
 from lexmill.plans.registry import Registry
 
-MODULES = ("references", "texts")
+MODULES = ("references", "texts", "records", "matches", "aggregates", "loads", "inputs")
 
 
 def registries() -> list[Registry]:
