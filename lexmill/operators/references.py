@@ -32,11 +32,11 @@ are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,13 +153,19 @@ def _micros(time: Column) -> Column:
 PARENT, WITHDRAWN = "<parent>", "<withdrawn>"
 
 
-def _verdicts(part: pd.DataFrame) -> pd.DataFrame:
+_SURVIVORS = pa.schema(
+    [("table_name", pa.string()), ("period", pa.int32()), ("key", pa.string()), ("kind", pa.string()), ("parent_at", pa.int64())]
+)
+
+
+def _verdicts(table: pa.Table) -> pa.Table:
     """Survivors of one key range: table_name, period, key, kind, parent_at."""
+    part = table.to_pandas()
     codes, dictionary = pd.factorize(part["key"], sort=True)
     dictionary = np.asarray(dictionary, dtype=object)
     is_parent = (part["table_name"] == PARENT).to_numpy()
     times = np.full(len(dictionary), None, dtype=object)
-    times[codes[is_parent]] = part["parent_at"].to_numpy()[is_parent]
+    times[codes[is_parent]] = np.array(table.column("parent_at").to_pylist(), dtype=object)[is_parent]
     by: dict[tuple[str, int], Bitmap] = {
         key: Bitmap.of(codes[at]) for key, at in part.groupby(["table_name", "period"]).indices.items()
     }
@@ -175,7 +181,7 @@ def _verdicts(part: pd.DataFrame) -> pd.DataFrame:
     for period in ordered:  # parents of later periods
         after[period] = growing
         growing = growing | parents.get(period, none)
-    found = []
+    found: list[list] = [[], [], [], [], []]
     for (name, period), bits in by.items():
         if name in (PARENT, WITHDRAWN):
             continue
@@ -185,13 +191,10 @@ def _verdicts(part: pd.DataFrame) -> pd.DataFrame:
             verdicts += [("late", False, bits & after[period]), ("late", True, bits & parents.get(period, none))]
         for kind, exact, left in verdicts:
             at = left.values()
-            if len(at):
-                found.append(
-                    pd.DataFrame({"table_name": name, "period": period, "key": dictionary[at], "kind": kind})
-                    .assign(parent_at=times[at] if exact else None)
-                )
-    columns = ["table_name", "period", "key", "kind", "parent_at"]
-    return pd.concat(found)[columns] if found else pd.DataFrame({c: [] for c in columns})
+            keys = dictionary[at].tolist()
+            for column, values in zip(found, ([name] * len(at), [period] * len(at), keys, [kind] * len(at), times[at].tolist() if exact else [None] * len(at))):
+                column += values
+    return pa.table([pa.array(c, f.type) for c, f in zip(found, _SURVIVORS)], schema=_SURVIVORS)
 
 
 def orphan_references(
@@ -234,7 +237,7 @@ def orphan_references(
         named.unionByName(firsts)
         .withColumn("key_range", F.pmod(F.xxhash64("key"), F.lit(ranges)))
         .groupBy("key_range")
-        .applyInPandas(_verdicts, "table_name string, period int, key string, kind string, parent_at long")
+        .applyInArrow(_verdicts, "table_name string, period int, key string, kind string, parent_at long")
     )
     return (
         rows.join(survivors, ["table_name", "period", "key"])
