@@ -16,7 +16,7 @@ from lexmill.functions.fixed import (
     SIGNATURE_AR, SIGNATURE_FR,
 )
 from lexmill.functions.patterns import SPACE, portable
-from lexmill.functions.text import plain_digits, strip
+from lexmill.functions.text import let, plain_digits, strip
 from lexmill.operators.identity import gazette_base, with_suffix
 
 _OPEN = r"(?:^|\n)(?:#+\s*|\*\*)?"
@@ -36,35 +36,44 @@ def _per_language(language: Column, make) -> Column:
 def candidates(text: Column, language: Column) -> Column:
     """EXT-11, FLT-01..03: headings as structs (start, end, heading, in_contents, in_erratum, has_preamble)."""
     marked = _per_language(language, lambda k: F.regexp_replace(text, HEADING[k], "\x01$0"))
-    pieces = F.split(marked, "\x01", -1)
-    starts = F.aggregate(pieces, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
 
-    def one(piece: Column, i: Column) -> Column:
-        start = F.get(starts, i)
+    def one(piece: Column, start: Column) -> Column:
         whole = _per_language(language, lambda k: F.regexp_extract(piece, HEADING[k], 0))
         heading = _per_language(language, lambda k: F.regexp_extract(piece, HEADING[k], 1))
         heading = F.rtrim(F.rtrim(strip(heading), F.lit("*")), F.lit("."))
-        end = start + F.length(whole)
-        ahead = F.greatest(F.lit(0), start - 60)
-        before = F.lower(strip(F.substring(text, ahead + 1, start - ahead)))
-        after = F.substring(text, end + 1, F.lit(1200))
-        return F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            heading.alias("heading"),
-            heading.rlike(portable(CONTENTS_LINE)).alias("in_contents"),
-            before.rlike(portable(ERRATUM)).alias("in_erratum"),
-            _per_language(language, lambda k: after.rlike(PREAMBLE[k])).alias("has_preamble"),
-        )
-
-    return F.slice(F.transform(pieces, one), 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+        def judged(h: Column) -> Column:
+            end = start + F.length(h["whole"])
+            ahead = F.greatest(F.lit(0), start - 60)
+            before = F.lower(strip(F.substring(text, ahead + 1, start - ahead)))
+            after = F.substring(text, end + 1, F.lit(1200))
+            return F.struct(
+                start.alias("start"),
+                end.alias("end"),
+                h["heading"].alias("heading"),
+                h["heading"].rlike(portable(CONTENTS_LINE)).alias("in_contents"),
+                before.rlike(portable(ERRATUM)).alias("in_erratum"),
+                _per_language(language, lambda k: after.rlike(PREAMBLE[k])).alias("has_preamble"),
+            )
+
+        return let(F.struct(whole.alias("whole"), heading.alias("heading")), judged)
+
+    def all_of(pieces: Column) -> Column:
+        starts = F.aggregate(pieces, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
+        placed = F.slice(F.arrays_zip(pieces.alias("piece"), starts.alias("start")), 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return F.transform(placed, lambda p: one(p["piece"], p["start"]))
+
+    return let(F.split(marked, "\x01", -1), all_of)
 
 
 def accepted(found: Column) -> Column:
     """Headings outside contents and errata with a preamble; if none has one, all outside."""
-    outside = F.filter(found, lambda c: ~c["in_contents"] & ~c["in_erratum"])
-    valid = F.filter(outside, lambda c: c["has_preamble"])
-    return F.when(F.size(valid) > 0, valid).otherwise(outside)
+
+    def chosen(every: Column) -> Column:
+        outside = F.filter(every, lambda c: ~c["in_contents"] & ~c["in_erratum"])
+        return let(outside, lambda o: let(F.filter(o, lambda c: c["has_preamble"]), lambda v: F.when(F.size(v) > 0, v).otherwise(o)))
+
+    return let(found, chosen)
 
 
 def acts(issues: DataFrame, year: str = "year", issue: str = "issue", language: str = "language", text: str = "text") -> DataFrame:
@@ -78,10 +87,11 @@ def acts(issues: DataFrame, year: str = "year", issue: str = "issue", language:
             h["start"].alias("start"), h["heading"].alias("heading"), F.coalesce(F.get(F.col("__heads"), i + 1)["start"], F.length("__text")).alias("stop")
         ),
     )
+    # one shuffle by issue serves all windows
     rows = base.select(*key, "__text", F.explode(spans).alias("act")).select(
         *key, "act.start", "act.heading", strip(F.substring(F.col("__text"), F.col("act.start") + 1, F.col("act.stop") - F.col("act.start"))).alias("full_text")
     )
-    rows = rows.withColumn("content_hash", F.sha2("full_text", 256))
+    rows = rows.repartition(*key).withColumn("content_hash", F.sha2("full_text", 256))
     first = Window.partitionBy(*key, "heading", "content_hash").orderBy("start")
     rows = rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     rows = rows.withColumn("ordinal", F.row_number().over(Window.partitionBy(*key).orderBy("start")))
@@ -130,18 +140,22 @@ def act_documents(rows: DataFrame, year: str = "year", issue: str = "issue", lan
 def split_articles(text: Column, language: Column) -> Column:
     """EXT-12, WIN-02: articles as structs (ordinal, article_number, text); a signature ends the last one."""
     marked = _per_language(language, lambda k: F.regexp_replace(text, ARTICLE[k], "\x01$1\x02"))
-    pieces = F.split(marked, "\x01", -1)
-    count = F.size(pieces) - 1
-
-    def one(piece: Column, i: Column) -> Column:
-        number = strip(F.substring_index(piece, "\x02", 1))
-        body = F.substring(piece, F.length(F.substring_index(piece, "\x02", 1)) + 2, F.length(piece))
-        cut = _per_language(language, lambda k: F.regexp_replace(body, SIGNATURE[k] + r"[\s\S]*", ""))
-        body = F.when(i == count, cut).otherwise(body)
-        body = strip(F.regexp_replace(strip(body), rf"^[{SPACE}—*:-]+", ""))
-        return F.struct(i.alias("ordinal"), F.when(F.lower(number) == "premier", "1er").otherwise(number).alias("article_number"), body.alias("text"))
-
-    return F.when(count > 0, F.slice(F.transform(pieces, one), 2, F.greatest(count, F.lit(1))))
+
+    def all_of(pieces: Column) -> Column:
+        count = F.size(pieces) - 1
+
+        def one(piece: Column, i: Column) -> Column:
+            number = F.substring_index(piece, "\x02", 1)
+            body = F.substring(piece, F.length(number) + 2, F.length(piece))
+            cut = _per_language(language, lambda k: F.regexp_replace(body, SIGNATURE[k] + r"[\s\S]*", ""))
+            body = F.when(i == count - 1, cut).otherwise(body)
+            body = strip(F.regexp_replace(strip(body), rf"^[{SPACE}—*:-]+", ""))
+            number = strip(number)
+            return F.struct((i + 1).alias("ordinal"), F.when(F.lower(number) == "premier", "1er").otherwise(number).alias("article_number"), body.alias("text"))
+
+        return F.when(count > 0, F.transform(F.slice(pieces, 2, F.greatest(count, F.lit(1))), one))
+
+    return let(F.split(marked, "\x01", -1), all_of)
 
 
 def articles(rows: DataFrame, key: str, text: str = "full_text", language: str = "language") -> DataFrame:
