@@ -53,10 +53,10 @@ BITMAP_BITS = 27
 #: Weight, in texts, of the estimate from the next shorter context.
 PRIOR = 4.0
 #: Texts that must end alike before their ends count; two cut texts may share a context by chance.
-OTHERS = 3
+OTHERS = 2
 #: What a transfer's mark at the end, or white space there, takes off the log-odds.
-MARKED = 3.0
-LOW, HIGH = -5.0, -2.5
+MARKED = 5.0
+LOW, HIGH = -6.5, -3.5
 LEAST_TEXTS = 200
 #: Stops that end a sentence before white space (fixed values).
 STOPS = np.array([ord(c) for c in ".!?؟"], np.uint32)

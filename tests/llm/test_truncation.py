@@ -73,7 +73,7 @@ def test_counts_equal_brute_force(spark):
                     if other[i - n : i] == context:
                         end = (other[i] == "\n" or (other[i] == ";" and other[i + 1 : i + 2] == "\n") or (other[i - 1] in ".!?" and other[i].isspace())) and other[i - 1] != "\n"
                         stop, mid = stop + end, mid + (not end)
-            seen.append(((others if others >= 3 else 0) + stop, mid))
+            seen.append(((others if others >= 2 else 0) + stop, mid))
         p, prior = 0.5, 4.0
         for (e0, m0), (e1, m1) in zip(seen, seen[1:]):
             e, m = max(0, e0 - e1), max(0, m0 - m1)
