@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lexmill.functions.classify import filled
 
 
+#: Statuses that a coverage report may have as columns.
+MOST_STATUSES = 1000
+
+
 def child_without_parent(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """JON-03, JON-04: rows whose key no parent has; a null key has none, either."""
     keys = parent.select(F.col(parent_key).alias("__k")).distinct()
@@ -22,12 +26,15 @@ def count_by(rows: DataFrame, column: str) -> DataFrame:
 
 
 def duplicate_groups(rows: DataFrame, key: list[str], row_id: str) -> DataFrame:
-    """AGG-03, AGG-14: groups of two rows or more with their ids in order."""
-    return (
-        rows.groupBy(*key)
-        .agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(row_id)), lambda x: x.cast("string")), ",").alias("ids"))
-        .filter("n > 1")
-    )
+    """AGG-03, AGG-14: members of groups of two rows or more: key, size of the group, id.
+
+    Groups are counted before the shuffle and joined back; no group is held in one place.
+    """
+    groups = rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*[F.col(k).alias(f"__{k}") for k in key], "n")
+    condition = F.lit(True)
+    for k in key:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(groups, condition).select(*key, "n", F.col(row_id).alias("member"))
 
 
 def duplicate_count(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -81,7 +88,9 @@ def gold_scores(checks: DataFrame, false_positive: Column | None = None) -> Data
 
 def coverage(rows: DataFrame, key: list[str], status: str, known: tuple[str, ...]) -> DataFrame:
     """AGG-07: rows per key and status, known statuses always, others appended."""
-    found = [r[0] for r in rows.filter(F.col(status).isNotNull()).select(status).distinct().limit(1000).collect()]  # statuses are few
+    found = [r[0] for r in rows.filter(F.col(status).isNotNull()).select(status).distinct().limit(MOST_STATUSES + 1).collect()]
+    if len(found) > MOST_STATUSES:
+        raise ValueError(f"{status} has too many values for columns")
     order = [*known, *sorted(set(found) - set(known))]
     return rows.groupBy(*key).pivot(status, order).agg(F.count(F.lit(1))).fillna(0, order)
 

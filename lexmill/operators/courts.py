@@ -10,7 +10,7 @@ from lexmill.functions.dates import padded, year_of
 from lexmill.functions.extract import disposition, legal_references, parties
 from lexmill.functions.fixed import NODE_PATCHES
 from lexmill.functions.text import clean_text, keywords_json
-from lexmill.operators.identity import clone_suffix, council_base, court_base, review_base, with_suffix
+from lexmill.operators.identity import clone_suffix, council_base, court_base, review_base, with_clones, with_suffix
 
 
 def shown(value: Column) -> Column:
@@ -59,9 +59,19 @@ def court_documents(rows: DataFrame) -> DataFrame:
 
 
 def next_start(rows: DataFrame, issue: list[str], page: str) -> DataFrame:
-    """WIN-06: the next strictly later start page of the same issue, in ``next_page``."""
-    later = Window.partitionBy(*issue).orderBy(page).rangeBetween(1, Window.unboundedFollowing)
-    return rows.withColumn("next_page", F.min(page).over(later))
+    """WIN-06: the next strictly later start page of the same issue, in ``next_page``.
+
+    Only the distinct start pages of an issue are ordered, so an issue with many rows costs its pages.
+    """
+    pages = rows.filter(F.col(page).isNotNull()).select(*issue, page).distinct()
+    following = F.lead(page).over(Window.partitionBy(*issue).orderBy(page))
+    found = pages.withColumn("next_page", following).filter("next_page IS NOT NULL")
+    keys = [*issue, page]
+    found = found.select(*[F.col(k).alias(f"__{k}") for k in keys], "next_page")
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(found, condition, "left").drop(*[f"__{k}" for k in keys])
 
 
 def page_range_text(ranges: DataFrame, pages: DataFrame, issue: list[str], key: str) -> DataFrame:
@@ -147,7 +157,8 @@ def council_documents(rows: DataFrame, ocr: DataFrame) -> DataFrame:
     base = patched_nodes(rows).join(ocr.select("nid", F.col("text").alias("ocr_text"), F.col("path").alias("ocr_path")), "nid", "left")
     base = base.withColumn("clean", F.coalesce(clean_text(F.col("ocr_text")), F.lit(""))).withColumn("__hash", F.sha2("clean", 256))
     base = base.withColumn("__base", council_base(F.col("decision_number"), F.col("date")))
-    base = base.withColumn("__suffix", clone_suffix(F.col("__hash"), F.col("nid"), "__base", "pdf_hash"))
+    base = with_clones(base, "__base", "pdf_hash", "__clone")
+    base = base.withColumn("__suffix", clone_suffix(F.col("__hash"), F.col("nid"), F.col("__clone")))
     base = with_suffix(base, "__base", F.col("__suffix")).withColumn("__parties", parties(F.col("clean")))
     review = F.col("node_type") == "publications-revue"
     size = completeness(F.col("clean"), "council")

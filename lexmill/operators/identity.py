@@ -30,13 +30,32 @@ def gazette_base(year: Column, issue: Column, kind_slug: Column, number: Column,
 
 
 def with_suffix(rows: DataFrame, base: str, suffix: Column, scope: tuple[str, ...] = (), into: str = "canonical_id") -> DataFrame:
-    """WIN-05: ``base``, with ``_suffix`` where several rows of the scope share it."""
-    group = Window.partitionBy(*scope, base)
-    return rows.withColumn(into, F.when(F.count("*").over(group) > 1, F.concat(F.col(base), F.lit("_"), suffix)).otherwise(F.col(base)))
+    """WIN-05: ``base``, with ``_suffix`` where several rows of the scope share it.
 
+    Within a scope, which bounds the group, rows are counted in a window. Without
+    one the colliding bases are counted apart, combined before the shuffle, and
+    joined back, so that a base that a third of all rows share is no single task.
+    """
+    if scope:
+        counted = rows.withColumn("__collides", F.count("*").over(Window.partitionBy(*scope, base)) > 1)
+    else:
+        counted = rows.join(repeated(rows, [base], "__collides"), base, "left")
+    collides = F.coalesce("__collides", F.lit(False))
+    return counted.withColumn(into, F.when(collides, F.concat(F.col(base), F.lit("_"), suffix)).otherwise(F.col(base))).drop("__collides")
 
-def clone_suffix(content_hash: Column, nid: Column, base: str, pdf_hash: str) -> Column:
-    """JON-14: the node id joins the suffix where another row of the group has the same PDF hash; nulls are equal."""
+
+def repeated(rows: DataFrame, key: list[str], flag: str) -> DataFrame:
+    """Keys that several rows have, with a true ``flag``."""
+    return rows.groupBy(*key).agg(F.count("*").alias("__n")).filter("__n > 1").select(*key, F.lit(True).alias(flag))
+
+
+def with_clones(rows: DataFrame, base: str, pdf_hash: str, flag: str) -> DataFrame:
+    """JON-14: flags rows whose group has another row with the same PDF hash; nulls are equal."""
+    clones = repeated(rows, [base, pdf_hash], flag).select(F.col(base).alias("__b"), F.col(pdf_hash).alias("__h"), flag)
+    return rows.join(clones, (F.col(base) == F.col("__b")) & F.col(pdf_hash).eqNullSafe(F.col("__h")), "left").drop("__b", "__h")
+
+
+def clone_suffix(content_hash: Column, nid: Column, clone: Column) -> Column:
+    """JON-14: the node id joins the suffix of a clone."""
     short = F.substring(content_hash, 1, 8)
-    clones = F.count("*").over(Window.partitionBy(base, pdf_hash)) > 1
-    return F.when(clones, F.concat(short, F.lit("_nid"), nid.cast("string"))).otherwise(short)
+    return F.when(clone, F.concat(short, F.lit("_nid"), nid.cast("string"))).otherwise(short)

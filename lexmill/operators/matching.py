@@ -66,16 +66,24 @@ def same_year_prefix(dates: Column) -> Column:
 
 
 def cross_source_edges(review: DataFrame, court: DataFrame) -> DataFrame:
-    """JON-16: pairs of review and court decisions with one number, classed by date."""
-    a = review.select(bare_number(F.col("decision_number"), True).alias("num"), F.col("id").alias("review_id"), F.col("date").alias("a_date"))
-    b = court.select(bare_number(F.col("decision_number"), True).alias("num"), F.col("id").alias("court_id"), F.col("date").alias("b_date"))
+    """JON-16: numbers and dates of the review against those of the court, classed by date.
+
+    Rows of one source with the same number and date are one class, with its size
+    and lowest id; classes of a number are paired, not rows.
+    """
+
+    def classes(rows: DataFrame, name: str) -> DataFrame:
+        keyed = rows.select(bare_number(F.col("decision_number"), True).alias("num"), F.col("date").alias(f"{name}_date"), "id").filter("num IS NOT NULL")
+        return keyed.groupBy("num", f"{name}_date").agg(F.min("id").alias(f"{name}_id"), F.count("*").alias(f"n_{name}"))
+
+    a, b = F.col("review_date"), F.col("court_date")
     kind = (
-        F.when(F.col("a_date") == F.col("b_date"), "SAME_DECISION_DIFFERENT_SOURCE")
-        .when(F.substring("a_date", 1, 4) == F.substring("b_date", 1, 4), "POSSIBLE_SAME_DECISION")
-        .when(F.col("a_date").isNull() | F.col("b_date").isNull(), "UNDATED")
+        F.when(a == b, "SAME_DECISION_DIFFERENT_SOURCE")
+        .when(F.substring(a, 1, 4) == F.substring(b, 1, 4), "POSSIBLE_SAME_DECISION")
+        .when(a.isNull() | b.isNull(), "UNDATED")
         .otherwise("SAME_NUMBER_DIFFERENT_DECISION")
     )
-    return a.filter("num IS NOT NULL").join(b, "num").select("review_id", "court_id", kind.alias("kind"))
+    return classes(review, "review").join(classes(court, "court"), "num").withColumn("kind", kind)
 
 
 def offset_samples(decisions: DataFrame, entries: DataFrame) -> DataFrame:
@@ -111,7 +119,7 @@ def search_samples(entries: DataFrame, pages: DataFrame, reach: int = 10) -> Dat
     """
     issue = ["issue_year", "issue_number"]
     first = Window.partitionBy(*issue).orderBy("start_page", "id")
-    some = entries.filter("decision_number IS NOT NULL AND start_page IS NOT NULL").withColumn("k", F.row_number().over(first)).filter("k <= 20")
+    some = entries.filter("decision_number IS NOT NULL AND start_page IS NOT NULL").select(*issue, "id", "decision_number", "start_page").withColumn("k", F.row_number().over(first)).filter("k <= 20")
     tried = some.withColumn("offset", F.explode(F.sequence(F.lit(-reach), F.lit(reach)))).withColumn("page_no", F.col("start_page") + F.col("offset"))
     found = tried.join(pages.select(*issue, "page_no", "text"), [*issue, "page_no"]).filter(F.contains("text", "decision_number"))
     return found.groupBy(*issue, F.col("id").alias("seq")).agg(F.min("offset").alias("offset"))
@@ -156,7 +164,7 @@ def best_offsets(issues: DataFrame, by_method: list[DataFrame]) -> DataFrame:
 def legacy_ranges(entries: DataFrame, offsets: DataFrame, last_pages: DataFrame) -> DataFrame:
     """WIN-07: page range of every index entry: to the page before the next entry's, the last to the end, within the issue."""
     issue = ["issue_year", "issue_number"]
-    some = entries.filter("decision_number IS NOT NULL AND start_page IS NOT NULL").join(offsets.select(*issue, "offset_value"), issue).join(last_pages, issue)
+    some = entries.filter("decision_number IS NOT NULL AND start_page IS NOT NULL").select(*issue, "id", "decision_number", "start_page").join(offsets.select(*issue, "offset_value"), issue).join(last_pages, issue)
     following = F.lead("start_page").over(Window.partitionBy(*issue).orderBy("start_page", "id"))
     start = F.col("start_page") + F.col("offset_value")
     first = F.greatest(F.lit(1), F.least(start, F.col("last_page")))

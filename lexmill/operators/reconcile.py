@@ -43,8 +43,10 @@ def single_method(methods: DataFrame) -> DataFrame:
 
 
 def shared_targets(pages: DataFrame) -> DataFrame:
-    """AGG-17: files that more than one page links to. ``pages``: url, pdf_url."""
-    return pages.distinct().groupBy("pdf_url").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("url")), ",").alias("urls")).filter("n > 1")
+    """AGG-17: links to files that more than one page has: file, number of pages, page. ``pages``: url, pdf_url."""
+    unique = pages.distinct()
+    shared = unique.groupBy("pdf_url").agg(F.count("*").alias("n")).filter("n > 1")
+    return unique.join(shared, "pdf_url").select("pdf_url", "n", "url")
 
 
 def first_by_url(items: DataFrame, order: str) -> DataFrame:

@@ -38,12 +38,12 @@ for _source, _column in (("documents", "language"), ("documents", "source"), ("d
     registry.query(f"SELECT {_column} AS value, count(*) AS n FROM {_source} GROUP BY 1", f"count_{_source}_by_{_column}")(_count)
 
 
-@registry.query("SELECT canonical_hash, count(*) AS n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents GROUP BY 1 HAVING count(*) > 1")
+@registry.query("SELECT canonical_hash, n, member FROM (SELECT canonical_hash, doc_id AS member, count(*) OVER (PARTITION BY canonical_hash) AS n FROM documents) WHERE n > 1")
 def content_hash_dups(spark: SparkSession, directory: str) -> DataFrame:
     return A.duplicate_groups(table(spark, directory, "documents"), ["canonical_hash"], "doc_id")
 
 
-@registry.query("SELECT decision_number, date, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM decisions WHERE decision_number IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1")
+@registry.query("SELECT decision_number, date, n, member FROM (SELECT decision_number, date, id AS member, count(*) OVER (PARTITION BY decision_number, date) AS n FROM decisions WHERE decision_number IS NOT NULL AND date IS NOT NULL) WHERE n > 1")
 def number_date_dups(spark: SparkSession, directory: str) -> DataFrame:
     return A.duplicate_groups(table(spark, directory, "decisions").filter("decision_number IS NOT NULL AND date IS NOT NULL"), ["decision_number", "date"], "id")
 
@@ -270,7 +270,7 @@ def single_method(spark: SparkSession, directory: str) -> DataFrame:
     return R.single_method(R.discovery_methods(_found(spark, directory)))
 
 
-@registry.query("""SELECT content_hash AS pdf_url, count(*) AS n, string_agg(source_url, ',' ORDER BY source_url) AS urls FROM (SELECT DISTINCT content_hash, source_url FROM decisions WHERE content_hash IS NOT NULL) GROUP BY 1 HAVING count(*) > 1""")
+@registry.query("""SELECT pdf_url, n, url FROM (SELECT *, count(*) OVER (PARTITION BY pdf_url) AS n FROM (SELECT DISTINCT content_hash AS pdf_url, source_url AS url FROM decisions WHERE content_hash IS NOT NULL)) WHERE n > 1""")
 def shared_targets(spark: SparkSession, directory: str) -> DataFrame:
     rows = table(spark, directory, "decisions").filter("content_hash IS NOT NULL")
     return R.shared_targets(rows.select(F.col("source_url").alias("url"), F.col("content_hash").alias("pdf_url")))

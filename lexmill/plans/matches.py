@@ -46,9 +46,10 @@ def match_year_prefix(spark: SparkSession, directory: str) -> DataFrame:
     return M.date_verdicts(table(spark, directory, "revue_index"), table(spark, directory, "decisions"), M.same_year_prefix).select("id", "verdict")
 
 
-@registry.query(f"""SELECT a.id AS review_id, b.id AS court_id, CASE WHEN a.date = b.date THEN 'SAME_DECISION_DIFFERENT_SOURCE' WHEN substring(a.date, 1, 4) = substring(b.date, 1, 4) THEN 'POSSIBLE_SAME_DECISION'
-  WHEN a.date IS NULL OR b.date IS NULL THEN 'UNDATED' ELSE 'SAME_NUMBER_DIFFERENT_DECISION' END AS kind
-FROM (SELECT id, date, {_NULL} AS num FROM revue_decisions) a JOIN (SELECT id, date, {_NULL} AS num FROM decisions) b USING (num)""")
+@registry.query(f"""WITH a AS (SELECT {_NULL} AS num, date AS review_date, min(id) AS review_id, count(*) AS n_review FROM revue_decisions GROUP BY 1, 2),
+b AS (SELECT {_NULL} AS num, date AS court_date, min(id) AS court_id, count(*) AS n_court FROM decisions GROUP BY 1, 2)
+SELECT *, CASE WHEN review_date = court_date THEN 'SAME_DECISION_DIFFERENT_SOURCE' WHEN substring(review_date, 1, 4) = substring(court_date, 1, 4) THEN 'POSSIBLE_SAME_DECISION'
+  WHEN review_date IS NULL OR court_date IS NULL THEN 'UNDATED' ELSE 'SAME_NUMBER_DIFFERENT_DECISION' END AS kind FROM a JOIN b USING (num)""")
 def cross_source_edges(spark: SparkSession, directory: str) -> DataFrame:
     return M.cross_source_edges(table(spark, directory, "revue_decisions"), table(spark, directory, "decisions"))
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.session import find_code
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,7 +24,13 @@ class Registry:
             key = name or function.__name__
             if key in self.queries:
                 raise ValueError(f"two queries are named {key}")
-            self.queries[key] = function
+
+            @wraps(function)
+            def run(spark: SparkSession, directory: str) -> DataFrame:
+                find_code(spark)
+                return function(spark, directory)
+
+            self.queries[key] = run
             if sql is not None:
                 self.sql[key] = sql
             return function

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,18 @@ def build_session(app: str = "lexmill", cpus: str | int = "*", shuffle: int = 8)
     )
 
 
+def find_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their folder.
+
+    Where the executors' machines lack that path the package is shipped with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df``, written to and read back from the session's checkpoint folder.
 
