@@ -44,9 +44,8 @@ from lexmill.llm.lookalikes import SUSPECT, one_form
 from lexmill.llm.textbatch import by_volume, code_points, is_space
 
 ORDERS = (1, 2, 4, 6, 9, 12, 16, 20, 25, 30, 36, 44)
-#: Up to this order a context is told by 22 bits of its hash, beyond by all 63.
-SHORT = 4
-SHORT_BITS = 22
+#: Bits of the hash that tell a short context; longer ones are told by 63.
+SHORT_BITS = {1: 16, 2: 20, 4: 22}
 #: Characters of an ending that are looked at: the longest context and a mark.
 TAIL = 64
 BITMAP_BITS = 27
@@ -103,7 +102,7 @@ class Contexts:
             h ^= h >> np.uint64(32)
             h *= np.uint64(0x94D049BB133111EB) + np.uint64(2 * n)
             h ^= h >> np.uint64(31)
-        return h >> np.uint64(64 - SHORT_BITS if n <= SHORT else 1)
+        return h >> np.uint64(64 - SHORT_BITS.get(n, 63))
 
 
 def _slots(h: np.ndarray, n: int) -> np.ndarray:
@@ -156,12 +155,13 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bitmap_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set bits of this task as 64-bit words."""
-    bits = np.zeros(1 << BITMAP_BITS, bool)
+    table = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for batch in batches:
         h, n = batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy()
         for order in ORDERS:
-            bits[_slots(h[n == order], order)] = True
-    words = np.packbits(bits, bitorder="little").view("<i8")
+            slot = np.unique(_slots(h[n == order], order))
+            np.bitwise_or.at(table, (slot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
+    words = table.view("<i8")
     some = np.flatnonzero(words)
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(words[some])], ["word", "bits"])
 
@@ -173,10 +173,10 @@ def _mid_counts(bitmap):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bitmap.value
-        short = {n: np.zeros((2, 1 << SHORT_BITS), np.int64) for n in ORDERS if n <= SHORT}
-        long: dict[int, list] = {n: [] for n in ORDERS if n > SHORT}
+        short = {n: np.zeros((2, 1 << bits), np.int32) for n, bits in SHORT_BITS.items()}
+        long: dict[int, list] = {n: [] for n in ORDERS if n not in SHORT_BITS}
         held = dict.fromkeys(long, 0)
-        for batch in by_volume(batches, "text", 2 << 20):
+        for batch in by_volume(batches, "text", 1 << 20):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             seeds = np.array([_seed(c) for c in batch.column(batch.schema.get_field_index("code")).to_pylist()], np.uint64)
             contexts = Contexts(texts, seeds)
@@ -196,10 +196,13 @@ def _mid_counts(bitmap):
                 passed = (known[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 kept = np.flatnonzero(inside >= n)[passed]
                 at, inside, stops, h = at[kept], inside[kept], stops[kept], h[passed]
-                if n <= SHORT:
-                    own = h.astype(np.int64)
-                    short[n][0] += np.bincount(own[~stops], minlength=1 << SHORT_BITS)
-                    short[n][1] += np.bincount(own[stops], minlength=1 << SHORT_BITS)
+                if n in SHORT_BITS:
+                    own = (h.astype(np.int64) << 1) | stops
+                    if SHORT_BITS[n] <= 20:
+                        short[n] += np.bincount(own, minlength=2 << SHORT_BITS[n]).reshape(-1, 2).T.astype(np.int32)
+                    else:
+                        own, k = np.unique(own, return_counts=True)
+                        short[n][own & 1, own >> 1] += k.astype(np.int32)
                 elif len(h):
                     long[n].append(compact([(h, (~stops).astype(np.int64), stops.astype(np.int64))]))
                     held[n] += len(long[n][-1][0])
@@ -207,7 +210,7 @@ def _mid_counts(bitmap):
                         long[n] = [compact(long[n])]
                         held[n] = 0
         for n, (going_on, ending_) in short.items():
-            some = np.flatnonzero(going_on + ending_)
+            some = np.flatnonzero(going_on | ending_)
             yield _counted(n, some, going_on[some], ending_[some])
         for n, parts in long.items():
             if parts:
