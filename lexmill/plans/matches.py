@@ -146,7 +146,9 @@ def paired_ids(spark: SparkSession, directory: str) -> DataFrame:
     return M.paired_ids(entries, existing)
 
 
-@registry.query()
+@registry.query(f"""SELECT issue_year, id AS issue_number, decision_number, replace(date, '/', '-') AS date, 1 AS start_page, 'الغرفة المدنية' AS chamber_raw, nullif({S.strip("coalesce(subject, '-')")}, '') AS subject,
+  CAST(NULL AS VARCHAR) AS keywords, CAST(NULL AS VARCHAR) AS legal_references, CAST(NULL AS VARCHAR) AS principle, true AS has_disposition, 'الغرف المدنية' AS chamber
+FROM revue_decisions WHERE regexp_matches(decision_number, '^[0-9]+$') AND regexp_matches(date, '^[0-9]{{4}}[-/][0-9]{{2}}[-/][0-9]{{2}}$') AND issue_year IS NOT NULL""")
 def review_segments(spark: SparkSession, directory: str) -> DataFrame:
     """Decisions of issues whose pages are rendered from the decisions table, one issue per decision year."""
     rows = table(spark, directory, "revue_decisions").filter("decision_number IS NOT NULL AND date IS NOT NULL AND issue_year IS NOT NULL")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.extract import COUNCIL_RECORD, COURT_RECORD, council_page, court_page, decision_urls, last_page, link_kind, pdf_links
-from lexmill.functions.fixed import ARTICLE_AR, ARTICLE_FR, SIGNATURE_AR, SIGNATURE_FR
+from lexmill.functions.fixed import ARTICLE_AR, ARTICLE_FR, CONTENTS_LINE, ERRATUM, SIGNATURE_AR, SIGNATURE_FR
 from lexmill.functions.patterns import SPACE, portable
 from lexmill.operators.courts import council_documents, court_documents, next_start, page_range_text, review_documents
-from lexmill.operators.gazette import acts, act_documents, articles, bilingual_pairs
+from lexmill.operators.gazette import HEADING, PREAMBLE, act_documents, acts, articles, bilingual_pairs
 from lexmill.operators.identity import court_base, with_suffix
 from lexmill.plans import sqltext as S
 from lexmill.plans.registry import Registry
@@ -103,6 +103,35 @@ def gazette_acts(spark: SparkSession, directory: str) -> DataFrame:
     return act_documents(acts(_issues(spark, directory)))
 
 
+def _acts_sql() -> str:
+    """Headings, spans, exact repeats and ordinals in SQL; one language at a time."""
+
+    def one(language: str) -> str:
+        heading, preamble = (S.quoted(x.replace("(?iu)", "(?i)")) for x in (HEADING[language], PREAMBLE[language]))
+        text = "translate(t, '٠١٢٣٤٥٦٧٨٩', '0123456789')" if language == "AR" else "t"
+        return f"""SELECT * FROM (WITH i AS (SELECT doc_id, {text} AS text FROM issues WHERE l = '{language}'),
+  m AS (SELECT doc_id, text, string_split(regexp_replace(text, {heading}, chr(1) || '\\0', 'g'), chr(1)) AS pieces FROM i),
+  e AS (SELECT doc_id, text, generate_subscripts(pieces, 1) AS k, unnest(pieces) AS piece FROM m),
+  s AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) - length(piece) AS start FROM e),
+  c AS (SELECT doc_id, text, start, length(regexp_extract(piece, {heading}, 0)) AS size, rtrim(rtrim({S.strip(f'regexp_extract(piece, {heading}, 1)')}, '*'), '.') AS heading FROM s WHERE k > 1),
+  f AS (SELECT *, regexp_matches(substring(text, CAST(start + size + 1 AS BIGINT), 1200), {preamble}) AS valid FROM c
+    WHERE NOT regexp_matches(heading, {S.quoted(portable(CONTENTS_LINE))})
+    AND NOT regexp_matches(lower({S.strip('substring(text, CAST(greatest(start - 60, 0) + 1 AS BIGINT), CAST(least(start, 60) AS BIGINT))')}), {S.quoted(portable(ERRATUM))})),
+  v AS (SELECT *, bool_or(valid) OVER (PARTITION BY doc_id) AS has_some FROM f),
+  a AS (SELECT doc_id, text, start, heading, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), length(text)) AS stop FROM v WHERE valid OR NOT has_some),
+  h AS (SELECT doc_id, start, heading, sha256({S.strip('substring(text, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT))')}) AS content_hash FROM a),
+  d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, heading, content_hash ORDER BY start) AS n FROM h)
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start) AS INTEGER) AS ordinal, heading, content_hash FROM d WHERE n = 1)"""
+
+    return f"""WITH issues AS (SELECT doc_id, {S.language('language')} AS l, title || chr(10) || full_text AS t FROM documents WHERE {_GAZETTE} AND title IS NOT NULL AND full_text IS NOT NULL)
+{one('FR')} UNION ALL {one('AR')}"""
+
+
+@registry.query(_acts_sql())
+def act_segments(spark: SparkSession, directory: str) -> DataFrame:
+    return acts(_issues(spark, directory)).select(F.col("issue").cast("long").alias("doc_id"), "ordinal", "heading", "content_hash")
+
+
 def _marked_sql(language: str) -> str:
     article, flags = (ARTICLE_AR, "") if language == "AR" else (ARTICLE_FR, "(?i)")
     pattern = portable(rf"{flags}(?:^|\n)(?:#+\s*|\*\*)?{article}")

@@ -12,7 +12,7 @@ from lexmill.functions import dates as D
 from lexmill.functions import extract as E
 from lexmill.functions import text as T
 from lexmill.functions.fixed import (
-    ACTS_AR, ACTS_FR, ARABIC_MARKS, DISPOSITION_REVIEW, MONTHS_AR, MONTHS_COUNCIL, MONTHS_FR, REFERENCE_ARTICLE, REFERENCE_LABEL,
+    ACTS_AR, ACTS_FR, ADVERSARY_INSIDE, ADVERSARY_START, ARABIC_MARKS, DISPOSITION_REVIEW, MONTHS_AR, MONTHS_COUNCIL, MONTHS_FR, ORGANISATIONS, REFERENCE_ARTICLE, REFERENCE_LABEL,
     REFERENCE_VISA, SUBJECT_AR, SUBJECT_FR,
 )
 from lexmill.functions.patterns import boundless, portable
@@ -227,7 +227,15 @@ scalar(
     "dispositions", "documents", "doc_id", lambda: {"disposition_found": E.disposition(T.clean_text(col("full_text")), "review")},
     {"disposition_found": S.clean(f"nullif(regexp_extract({S.clean('full_text')}, {S.quoted(portable(DISPOSITION_REVIEW))}, 0), '')")},
 )
-scalar("parties_found", "documents", "doc_id", lambda: {"parties": E.parties(col("full_text"))}, None)
+def _any_sql(x: str, words: tuple[str, ...], test: str) -> str:
+    return "(" + " OR ".join(f"{test}({x}, {S.quoted(w)})" for w in words) + ")"
+
+
+_LINES = f"list_filter(list_transform(string_split(substring(full_text, 1, 2500), chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '' AND NOT starts_with(x, '#') AND NOT starts_with(x, '!['))"
+_ADVERSARY = f"({_any_sql('x[1]', ADVERSARY_INSIDE, 'contains')} OR {_any_sql('x[1]', ADVERSARY_START, 'starts_with')})"
+_STEP = f"CASE WHEN {_ADVERSARY} OR ({_any_sql('x[1]', ORGANISATIONS, 'contains')} AND len(a) BETWEEN 1 AND 3) THEN list_concat(a, x) ELSE a END"
+_SEEN = f"list_reduce(list_transform({_LINES}, lambda x: [x]), lambda a, x: {_STEP}, CAST([] AS VARCHAR[]))"
+scalar("parties_found", "documents", "doc_id", lambda: {"parties": E.parties(col("full_text"))}, {"parties": S.clean(f"nullif(array_to_string(({_SEEN})[1:3], ' | '), '')")}, "full_text IS NOT NULL")
 
 
 def _every_sql(x: str, pattern: str) -> str:
