@@ -23,14 +23,23 @@ def until_misses(scan: DataFrame, group: list[str], order: str, missed: Column,
     rows = scan.withColumn("__miss", missed).withColumn("__island", F.sum(F.when(~F.col("__miss"), 1).otherwise(0)).over(ordered))
     run = F.sum(F.col("__miss").cast("int")).over(Window.partitionBy(*group, "__island").orderBy(order))
     rows = rows.withColumn("__run", F.when(F.col("__miss"), run).otherwise(0))
-    stop = F.min(F.when(F.col("__run") >= most, F.col(order))).over(Window.partitionBy(*group))
-    return rows.withColumn("__stop", stop).filter(F.col("__stop").isNull() | (F.col(order) <= F.col("__stop"))).drop("__miss", "__island", "__run", "__stop")
+    stops = rows.filter(F.col("__run") >= most).groupBy(*group).agg(F.min(order).alias("__stop"))
+    return _before(scan, stops, group, F.col(order) <= F.col("__stop"))
+
+
+def _before(rows: DataFrame, stops: DataFrame, group: list[str], kept: Column) -> DataFrame:
+    """Rows of groups without a stop, and those ``kept`` before it; stops are counted apart, so no group is held whole."""
+    named = stops.select(*[F.col(g).alias(f"__{g}") for g in group], "__stop")
+    condition = F.lit(True)
+    for g in group:
+        condition = condition & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    return rows.join(named, condition, "left").filter(F.col("__stop").isNull() | kept).select(*rows.columns)
 
 
 def until_empty(pages: DataFrame, group: list[str], page: str, n_items: str) -> DataFrame:
     """STR-03: pages before the first empty one, per group."""
-    stop = F.min(F.when(F.col(n_items) == 0, F.col(page))).over(Window.partitionBy(*group))
-    return pages.withColumn("__stop", stop).filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop"))).drop("__stop")
+    stops = pages.filter(F.col(n_items) == 0).groupBy(*group).agg(F.min(page).alias("__stop"))
+    return _before(pages, stops, group, F.col(page) < F.col("__stop"))
 
 
 def backoff_seconds(attempts: Column, most: int = 60) -> Column:
