@@ -144,9 +144,9 @@ _ARABIC = str.maketrans(ARABIC_FOR)
 def one_form(text: str) -> tuple[str, int, int]:
     """The text in its consistent form; numbers of mixed and whole-script confusable tokens."""
     text = _INVISIBLE.sub("", text)
-    text = _FORMS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)
+    text = _FORMS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text).translate(_ARABIC)
     text = _COMBINED.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
-    text = _LINE_BREAK.sub("\n", _HYPHEN.sub("-", _SPACE.sub(" ", text))).translate(_ARABIC)
+    text = _LINE_BREAK.sub("\n", _HYPHEN.sub("-", _SPACE.sub(" ", text)))
     mixed = whole = 0
     if _FOREIGN.search(text):
         text, mixed, whole = consistent(text)
