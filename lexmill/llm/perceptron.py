@@ -13,8 +13,8 @@ MARGIN = 1.0
 class AveragedPerceptron:
     """Weights of features; the average over all steps is what scores."""
 
-    def __init__(self) -> None:
-        self.weights: dict[str, float] = {}
+    def __init__(self, weights: dict[str, float] | None = None) -> None:
+        self.weights: dict[str, float] = weights or {}
 
     def score(self, features: list[str]) -> float:
         get = self.weights.get

@@ -11,9 +11,9 @@ from lexmill.llm.linkage import decision_attributes, index_attributes, link
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.mixing import mix_shares, mix_sources, token_table
 from lexmill.llm.packing import container_texts, container_use, containers, sized_items
-from lexmill.llm.scans import edited, scanned_texts, train_editor
+from lexmill.llm.scans import Corpus, edited, scanned_texts, train_models
 from lexmill.llm.truncation import ending_odds, truncated, truncation_rates
-from lexmill.llm.vocabulary import map_chambers
+from lexmill.llm.vocabulary import chamber_labels, map_chambers
 from lexmill.plans.registry import Registry
 from lexmill.session import checkpointed
 from lexmill.sources.tables import table
@@ -202,10 +202,10 @@ def p2_confidence(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _edited(spark: SparkSession, directory: str) -> DataFrame:
-    chambers = table(spark, directory, "chamber_ref").select("chamber_id", "label_ar", "label_fr").collect()  # a fixed list
-    labels = [(c["chamber_id"], x) for c in chambers for x in (c["label_ar"], c["label_fr"]) if x]
+    chambers = chamber_labels(table(spark, directory, "chamber_ref"))
     rows = scanned_texts(table(spark, directory, "revue_decision_texts"), table(spark, directory, "revue_index"))
-    return edited(rows, train_editor(rows, [x for _, x in labels], labels))
+    corpus = Corpus(rows, chambers)
+    return edited(corpus, train_models(corpus))
 
 
 @registry.query()

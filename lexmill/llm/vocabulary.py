@@ -251,12 +251,22 @@ def chamber_spellings(chamber_id: int, label_ar: str, label_fr: str) -> list[tup
     return [(chamber_id, x) for x in sorted(out)]
 
 
-def chamber_entries(reference: DataFrame) -> list[tuple[int, str]]:
-    """Spellings of every row of the reference list, whose size is checked first."""
+def chamber_rows(reference: DataFrame) -> list:
+    """Every row of the reference list, whose size is checked first."""
     rows = reference.select("chamber_id", "label_ar", "label_fr").limit(MOST_ENTRIES + 1).collect()
     if len(rows) > MOST_ENTRIES:
         raise ValueError("the reference list is too long to be held in memory")
-    return [x for r in rows for x in chamber_spellings(r.chamber_id, r.label_ar or "", r.label_fr or "")]
+    return rows
+
+
+def chamber_labels(reference: DataFrame) -> list[str]:
+    """All labels of the reference list, whose size is checked first."""
+    return [x for r in chamber_rows(reference) for x in (r.label_ar, r.label_fr) if x]
+
+
+def chamber_entries(reference: DataFrame) -> list[tuple[int, str]]:
+    """Spellings of every row of the reference list."""
+    return [x for r in chamber_rows(reference) for x in chamber_spellings(r.chamber_id, r.label_ar or "", r.label_fr or "")]
 
 
 def map_chambers(rows: DataFrame, value: str, reference: DataFrame, into: str = "chambers") -> DataFrame:
