@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 from lexmill.llm.perceptron import AveragedPerceptron
 from lexmill.llm.scantext import MOST_LINE, _DIGITS, bare, break_of, find_words, head_part, skeleton
@@ -311,8 +312,11 @@ def line_labels(laid: list[tuple[Layout, list[bool]]]) -> tuple[list[tuple[Layou
 def train_lines(laid: list[tuple[Layout, list[bool]]], pages: list[Layout]) -> FurnitureModel:
     """From entries with a clean form and, by forms of lines learned there, pages without one."""
     labelled, forms = line_labels(laid)
-    examples = [([[], features(layout, k)], int(label)) for layout, k, label in labelled]
-    first = AveragedPerceptron().train(examples)
+
+    def laid_lines() -> Iterator[tuple[list[list[str]], int]]:
+        return (([[], features(layout, k)], int(label)) for layout, k, label in labelled)
+
+    first = AveragedPerceptron().train(laid_lines())
     inside: dict[tuple, list[bool]] = {}
     for layout in pages:
         for k in layout.body:
@@ -321,11 +325,15 @@ def train_lines(laid: list[tuple[Layout, list[bool]]], pages: list[Layout]) -> F
                 inside.setdefault((head_part(layout.forms[k]), kind), []).append(layout.place(number, k)[0] == "True")
     # what mostly numbers the pages of its text is a form of page number
     numbering = {form for form, found in inside.items() if len(found) >= LEAST_LEFT and sum(found) >= NUMBERING * len(found)}
-    for layout in pages:
-        for k in layout.body:
-            row = features(layout, k)
-            on_page = layout.place(layout.kinds[k][1], k)[0] == "True"
-            known = layout.like(k) in forms or on_page and (head_part(layout.forms[k]), layout.kinds[k][0]) in numbering
-            if known == (first.score(row) > 0) and (known or not on_page) or known and on_page:  # where form and place agree
-                examples.append(([[], row], int(known)))
-    return FurnitureModel(AveragedPerceptron().train(examples))
+
+    def agreeing() -> Iterator[tuple[list[list[str]], int]]:
+        """Lines of the pages on which form and place agree."""
+        for layout in pages:
+            for k in layout.body:
+                row = features(layout, k)
+                on_page = layout.place(layout.kinds[k][1], k)[0] == "True"
+                known = layout.like(k) in forms or on_page and (head_part(layout.forms[k]), layout.kinds[k][0]) in numbering
+                if known == (first.score(row) > 0) and (known or not on_page) or known and on_page:
+                    yield [[], row], int(known)
+
+    return FurnitureModel(AveragedPerceptron().train(chain(laid_lines(), agreeing())))

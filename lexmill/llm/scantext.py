@@ -12,6 +12,8 @@ BREAKS = "­‐¬ـ-"
 GAP_LINES = 5
 #: Longer lines are no running headers, longer strings of letters no words.
 MOST_LINE, MOST_WORD = 120, 40
+#: Share of the longest line's length below which a line is short.
+SHORT = 0.85
 _WORD = re.compile(r"[^\s.,;:()\[\]{}«»،؛؟\"]+")
 _BREAK = re.compile(rf"([^\s{BREAKS}]+?)([{BREAKS}]+)\s*$")
 _DIGITS = re.compile(r"[0-9٠-٩]+")
@@ -74,26 +76,36 @@ def wholes(head: str, tail: str) -> tuple[str, str]:
 
 
 def possible_breaks(lines: list[str], words: list[list[str]]):
-    """``head, mark, tail`` of every broken word, whatever of the lines between turns out to be furniture."""
+    """``head, tail, near`` of every broken word, whatever of the lines between turns out to be furniture.
+
+    ``near``: only lines that are shorter than most or have digits lie between.
+    """
+    width = 0
     for k, line in enumerate(lines):
         broken = break_of(line)
         if broken:
-            seen = 0
+            width = width or max(map(len, lines))
+            seen, near = 0, True
             for j in range(k + 1, len(lines)):
                 if lines[j].strip():
                     if words[j]:
-                        yield broken.head, broken.mark, words[j][0]
+                        yield broken.head, words[j][0], near
+                    near = near and (len(lines[j]) < SHORT * width or _DIGITS.search(lines[j]) is not None)
                     seen += 1
                     if seen > GAP_LINES:
                         break
 
 
-def looked_up(text: str) -> tuple[list[str], list[str], list[str]]:
-    """Bare words, words that a break may have split with their pieces, and heads of the short lines of a text."""
+def looked_up(text: str) -> tuple[list[str], list[str], list[str], list[str]]:
+    """Bare words, pieces and wholes of words that a break may have split, those wholes to be edited, heads of the short lines."""
     lines = text.split("\n")
     words = [find_words(line) for line in lines]
     split: list[str] = []
-    for head, _, tail in possible_breaks(lines, words):
-        split += [bare(head), bare(tail), *wholes(head, tail)]
+    joined: list[str] = []
+    for head, tail, near in possible_breaks(lines, words):
+        both = wholes(head, tail)
+        split += [bare(head), bare(tail), *both]
+        if near:
+            joined += both
     heads = [head_part(skeleton(line)) for line in lines if 0 < len(line) <= MOST_LINE]
-    return [bare(w) for row in words for w in row], split, [h for h in heads if h]
+    return [bare(w) for row in words for w in row], split, joined, [h for h in heads if h]
