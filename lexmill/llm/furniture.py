@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 from lexmill.llm.perceptron import AveragedPerceptron
@@ -29,6 +29,9 @@ STOPS = ".:!?؟;؛"
 LEAST_LEFT = 3
 #: Share of its numbers that must be pages of their texts for a form to be one of page numbers.
 NUMBERING = 0.8
+#: Results that a task keeps.
+MEMO = 100_000
+_SIGNS = re.compile(r"[\W_]+")
 _LETTERS = re.compile(r"[^\W\d_]+\.?")
 
 
@@ -39,12 +42,24 @@ class Labels:
         self.names = list(names)
         self.whole = {" ".join(bare(w) for w in find_words(name)) for name in self.names}
         self.words = {w for name in self.whole for w in name.split(" ")}
+        self._of: dict[str, bool] = {}
+
+    def among(self, words: list[str]) -> int:
+        """How many of the words are words of names."""
+        of, n = self._of, 0
+        for word in words:
+            if word not in of:
+                if len(of) > MEMO:
+                    of.clear()
+                of[word] = bare(word) in self.words
+            n += of[word]
+        return n
 
 
 class Layout:
     """A text's lines with what the features need of them."""
 
-    def __init__(self, lines: list[str], pages: tuple[int | None, int | None], entry: bool, words: list[list[str]], labels: Labels, seen: Callable[[str], int]):
+    def __init__(self, lines: list[str], pages: tuple[int | None, int | None], entry: bool, words: list[list[str]], labels: Labels, seen: dict[str, int]):
         self.lines, self.pages, self.entry, self.words, self.labels, self.seen = lines, pages, entry, words, labels, seen
         self.text = [x.strip() for x in lines]
         self.width = max(map(len, self.text), default=1) or 1
@@ -54,6 +69,8 @@ class Layout:
         self.kinds = {k: self._kind(k) for k in self.body}
         first, last = pages
         self.count = 1 if first is None or last is None or last < first else last - first + 1
+        #: Lines whose number is a page of the text.
+        self.numbered = {k for k, (_, n) in self.kinds.items() if n is not None and self.place(n, k)[0] == "True"}
 
     def _kind(self, k: int) -> tuple[str, int | None]:
         """Form of what may be a page number on a line, and the number."""
@@ -97,10 +114,11 @@ class Layout:
         words = self.words[k]
         if "  " in form:
             words = words[: len(find_words(head_part(form)))]
-        words = [w for w in words if not w.isdigit()]
-        n = sum(w in self.labels.words for w in words)
+        if "9" in form:
+            words = [w for w in words if not w.isdigit()]
+        n = self.labels.among(words)
         if n == len(words):
-            return words, "none" if not n else "whole" if " ".join(words) in self.labels.whole else "all"
+            return words, "none" if not n else "whole" if " ".join(map(bare, words)) in self.labels.whole else "all"
         return words, "none" if not n else "half" if 2 * n >= len(words) else "few"
 
     def attributes(self, k: int) -> tuple:
@@ -113,16 +131,16 @@ class Layout:
         is_open = before is not None and self.text[before][-1] not in STOPS
         goes_on = "none" if after is None else "lower" if self.text[after][0].islower() else "upper" if self.text[after][0].isupper() else "other"
         words, own = self.named(k)
-        beside = any(x is not None and self.place(self.kinds[x][1], x)[0] == "True" for x in (before, after))
+        beside = before in self.numbered or after in self.numbered
         pages = self.count * k / max(1, len(self.lines))
         end = text[-1]
         return (
             kind,
             inside,
             due,
-            self.seen(head_part(self.forms[k])),
+            self.seen.get(head_part(self.forms[k]), 0),
             bool(words),
-            any(map(str.isdigit, text)),
+            "9" in self.forms[k] or not self.forms[k] and _DIGITS.search(text) is not None,
             own,
             min(5, len(text) * 5 // self.width),
             (k > 0 and not self.text[k - 1], k + 1 < len(self.text) and not self.text[k + 1]),
@@ -137,8 +155,8 @@ class Layout:
         )
 
     def letters(self, k: int) -> list[str]:
-        squeezed = "".join(c for c in head_part(self.forms[k]) if c.isalpha() or c == "9")[:16].lower()
-        return [f"~{squeezed[i:i + 4]}" for i in range(max(1, len(squeezed) - 3))]
+        squeezed = _SIGNS.sub("", head_part(self.forms[k])[:40])[:14].lower()
+        return [squeezed[i : i + 4] for i in range(max(1, len(squeezed) - 3))]
 
 
 def spelled_features(a: tuple) -> list[str]:
@@ -191,10 +209,12 @@ class FurnitureModel:
             attributes = layout.attributes(k)
             score = self._kept.get(attributes)
             if score is None:
-                if len(self._kept) > 100_000:
+                if len(self._kept) > MEMO:
                     self._kept.clear()
                 score = self._kept[attributes] = self.model.score(spelled_features(attributes))
-            out[k] = score + sum(get(f, 0.0) for f in layout.letters(k)) > 0
+            for f in layout.letters(k):
+                score += get(f, 0.0)
+            out[k] = score > 0
         return out
 
 
