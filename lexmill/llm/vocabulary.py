@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -197,18 +197,14 @@ def map_values(value: Column, entries: list[tuple[int, str]], noise: Iterable[st
     if len(entries) > MOST_ENTRIES:
         raise ValueError(f"the reference list has {len(entries)} spellings; at most {MOST_ENTRIES} are held in memory")
     noise = list(noise)
+    held: list[Matcher] = []  # made once a task
 
     @F.pandas_udf("array<struct<entry_id:int,distance:int>>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(entries, noise)
-        for batch in batches:
-            yield pd.Series(
-                [
-                    None if v is None else [{"entry_id": e, "distance": d} for e, d in matcher.candidates(v)]
-                    for v in batch
-                ],
-                dtype=object,
-            )
+    def search(values: pd.Series) -> pd.Series:
+        if not held:
+            held.append(Matcher(entries, noise))
+        found = [None if v is None else [{"entry_id": e, "distance": d} for e, d in held[0].candidates(v)] for v in values]
+        return pd.Series(found, dtype=object)
 
     return search(value)
 
