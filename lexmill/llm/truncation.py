@@ -14,17 +14,21 @@ first, so that what stands before them is judged, and count against the text; di
 character, a line of dots as one stop.
 
 Threshold. The log-odds of a language and column have two heaps, ends and cuts.
-The threshold is the emptiest place between ``LOW`` and ``HIGH`` in the smoothed
-histogram of that language and column, so it follows the data; with fewer than
-``LEAST_TEXTS`` texts it is the middle of the two bounds.
-
-Scale. Only contexts that some text ends with are counted: a bitmap of fixed
-size (``BITMAP_BITS``) tells a task which ones, a context being followed to the
-next longer one only while it passes. A crowded bitmap only lets more pass. A
-task combines its counts before they are shuffled. Endings (the last ``TAIL``
+The threshold is the emptiest place of the smoothed histogram of that language
+and column, by shares, with a mild preference (``PULL``) for the usual place
+(``USUAL``); it follows the data and is sought alike at every size.
+
+Scale. Only contexts that some text ends with are counted: a bitmap tells a task
+which ones, a context being followed to the next longer one only while it
+passes. It has ``BITS_A_KEY`` bits for each context, so what passes by chance is
+the same share at every size. Beyond ``MOST_BITS`` bits the endings are split by
+their last four characters into groups with a bitmap each, and each group's
+contexts are counted in a pass of its own; a pass follows only what its group may hold.
+A task combines its counts before they are shuffled, and gives away what it holds
+beyond ``HELD`` contexts. Endings (the last ``TAIL``
 characters with the length of the text) count once for each group of copies,
 so a text that came in a million times has the weight of one. Nothing but the
-bitmap and a histogram per language is collected.
+bitmap is collected.
 
 Nulls and edges: a null or empty text is never cut. Repeated rows are judged
 alike. A null language is a language of its own. Empty tables give no rows.
@@ -36,27 +40,32 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.lookalikes import SUSPECT, one_form
 from lexmill.llm.textbatch import by_volume, code_points, is_space
+from lexmill.session import checkpointed
 
 ORDERS = (1, 2, 4, 6, 9, 12, 16, 20, 25, 30, 36, 44)
 #: Bits of the hash that tell a short context; longer ones are told by 63.
 SHORT_BITS = {1: 16, 2: 20, 4: 22}
 #: Characters of an ending that are looked at: the longest context and a mark.
 TAIL = 64
-BITMAP_BITS = 27
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 32, 16, 29
+#: Contexts of a task that are combined before they are given away.
+HELD = 1_000_000
 #: Weight, in texts, of the estimate from the next shorter context.
 PRIOR = 4.0
 #: Texts that must end alike before their ends count; two cut texts may share a context by chance.
 OTHERS = 2
 #: What a transfer's mark at the end, or white space there, takes off the log-odds.
 MARKED = 5.0
-LOW, HIGH = -6.5, -3.5
-LEAST_TEXTS = 200
+#: Where the threshold usually lies, and what a unit's distance from there weighs beside a share of the texts.
+USUAL, PULL = -5.0, 2e-4
+STEP = 0.1
 #: Stops that end a sentence before white space (fixed values).
 STOPS = np.array([ord(c) for c in ".!?؟"], np.uint32)
 DOTS = re.compile(r"([._])\1{3,}$")
@@ -105,9 +114,18 @@ class Contexts:
         return h >> np.uint64(64 - SHORT_BITS.get(n, 63))
 
 
-def _slots(h: np.ndarray, n: int) -> np.ndarray:
+def _slots(h: np.ndarray, n: int, bits: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ((h + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITMAP_BITS)
+        return ((h + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)
+
+
+#: The order that splits contexts into groups; longer ones are followed by the bitmap.
+GROUPING = 4
+
+
+def _group(h: np.ndarray, groups: int) -> np.ndarray:
+    """Group of a context by the hash of its last four characters."""
+    return (h.astype(np.uint64) % np.uint64(groups)).astype(np.int32)
 
 
 def _seed(code: str | None) -> int:
@@ -128,7 +146,7 @@ def ending(tail: str) -> str:
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """group, order, hash of every ending; endings shorter than an order lack it."""
+    """Ending, order, hash and the hash of the last four characters; endings shorter than an order lack it."""
     for batch in by_volume(batches, "tail"):
         tails = [ending(t) for t in batch.column(batch.schema.get_field_index("tail")).to_pylist()]
         codes = batch.column(batch.schema.get_field_index("code")).to_pylist()
@@ -136,6 +154,9 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts = Contexts(tails, seeds)
         length = np.diff(contexts.starts)
         rows, orders, hashes = [], [], []
+        four = np.zeros(len(tails), np.int64)
+        some = np.flatnonzero(length >= GROUPING)
+        four[some] = contexts.at(contexts.starts[1:][some], GROUPING).astype(np.int64)
         for n in ORDERS:
             long = np.flatnonzero(length >= n)
             rows.append(long)
@@ -148,25 +169,37 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(batch.schema.get_field_index("code")).take(row),
                 pa.array(np.concatenate(orders)),
                 pa.array(np.concatenate(hashes)),
+                pa.array(four[np.concatenate(rows)]),
             ],
-            ["ending_id", "code", "n", "h"],
+            ["ending_id", "code", "n", "h", "four"],
         )
 
 
-def _bitmap_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set bits of this task as 64-bit words."""
-    table = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for batch in batches:
-        h, n = batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy()
-        for order in ORDERS:
-            slot = np.unique(_slots(h[n == order], order))
-            np.bitwise_or.at(table, (slot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
-    words = table.view("<i8")
-    some = np.flatnonzero(words)
-    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(words[some])], ["word", "bits"])
+def _bitmap_parts(bits: int):
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Set bits of this task as 64-bit words."""
+        table = np.zeros(1 << (bits - 3), np.uint8)
+        for batch in batches:
+            h, n = batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy()
+            for order in ORDERS:
+                slot = np.unique(_slots(h[n == order], order, bits))
+                np.bitwise_or.at(table, (slot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
+        words = table.view("<i8")
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(words[some])], ["word", "bits"])
+
+    return parts
+
+
+def bitmap_size(keys: int) -> tuple[int, int]:
+    """Bits of a bitmap (their logarithm) for so many contexts, and into how many groups they are split."""
+    wanted = max(LEAST_BITS, (max(1, keys) * BITS_A_KEY - 1).bit_length())
+    return min(wanted, MOST_BITS), 1 << max(0, wanted - MOST_BITS)
+
 
+def _mid_counts(bitmap, bits: int, group: int, groups: int):
+    """Counts of the contexts in one group; the short ones are counted with the first."""
 
-def _mid_counts(bitmap):
     def compact(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         return h, *(np.bincount(inverse, np.concatenate([p[k] for p in parts]), len(h)).astype(np.int64) for k in (1, 2))
@@ -176,6 +209,7 @@ def _mid_counts(bitmap):
         short = {n: np.zeros((2, 1 << bits), np.int32) for n, bits in SHORT_BITS.items()}
         long: dict[int, list] = {n: [] for n in ORDERS if n not in SHORT_BITS}
         held = dict.fromkeys(long, 0)
+        room = HELD // len(long)
         for batch in by_volume(batches, "text", 1 << 20):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             seeds = np.array([_seed(c) for c in batch.column(batch.schema.get_field_index("code")).to_pylist()], np.uint64)
@@ -191,9 +225,16 @@ def _mid_counts(bitmap):
             stops = (after == 10) | (after == 59) & (following == 10) | np.isin(contexts.points[at - 1], STOPS) & is_space(after)
             stops &= contexts.points[at - 1] != 10
             for n in ORDERS:
+                if n < GROUPING and group:
+                    continue
                 h = contexts.at(at[inside >= n], n)
-                slot = _slots(h, n)
-                passed = (known[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if n < GROUPING:
+                    passed = np.ones(len(h), bool)
+                elif n == GROUPING:
+                    passed = _group(h, groups) == group
+                else:
+                    slot = _slots(h, n, bits)
+                    passed = (known[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 kept = np.flatnonzero(inside >= n)[passed]
                 at, inside, stops, h = at[kept], inside[kept], stops[kept], h[passed]
                 if n in SHORT_BITS:
@@ -206,9 +247,12 @@ def _mid_counts(bitmap):
                 elif len(h):
                     long[n].append(compact([(h, (~stops).astype(np.int64), stops.astype(np.int64))]))
                     held[n] += len(long[n][-1][0])
-                    if held[n] > 500_000 and len(long[n]) > 1:
+                    if held[n] > room:
                         long[n] = [compact(long[n])]
-                        held[n] = 0
+                        held[n] = len(long[n][0][0])
+                        if 2 * held[n] > room:  # what is held no longer shrinks
+                            yield _counted(n, *long[n].pop())
+                            held[n] = 0
         for n, (going_on, ending_) in short.items():
             some = np.flatnonzero(going_on | ending_)
             yield _counted(n, some, going_on[some], ending_[some])
@@ -252,19 +296,21 @@ def ending_odds(rows: DataFrame, doc_id: str, text: str, code: Column) -> DataFr
     # copies of a text have one ending
     keyed = tails.withColumn("ending_id", F.xxhash64("code", "tail", "length")).withColumn("marked", F.col("tail").rlike(MARKED_END))
     endings = keyed.groupBy("ending_id").agg(F.first("code").alias("code"), F.first("tail").alias("tail"))
-    ends = endings.mapInArrow(_ends, "ending_id long, code string, n int, h long")
-    words = ends.select("h", "n").mapInArrow(_bitmap_parts, "word int, bits long")
-    merged = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most 2**21 words
-    table = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    table[merged["word"].to_numpy()] = merged["bits"].to_numpy()
-    bitmap = spark.sparkContext.broadcast(table.view(np.uint8))
-    mids = (
-        base.select("code", "text")
-        .mapInArrow(_mid_counts(bitmap), "n int, h long, mid long, stop long")
-        .groupBy("n", "h")
-        .agg(F.sum("mid").alias("mid"), F.sum("stop").alias("stop"))
-    )
-    counts = ends.groupBy("n", "h").agg(F.count("*").alias("end")).join(mids, ["n", "h"], "left")
+    ends = checkpointed(endings.mapInArrow(_ends, "ending_id long, code string, n int, h long, four long"))
+    per_context = ends.groupBy("n", "h").agg(F.count("*").alias("end"), F.first("four").alias("four"))
+    bits, groups = bitmap_size(per_context.filter(F.col("n") > GROUPING).count())
+    mids = None
+    for group in range(groups):
+        mine = per_context.filter((F.col("n") > GROUPING) & (F.pmod("four", F.lit(groups)) == group)).select("h", "n")
+        words = mine.mapInArrow(_bitmap_parts(bits), "word int, bits long")
+        merged = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most 2**23 words
+        table = np.zeros(1 << (bits - 6), np.int64)
+        table[merged["word"].to_numpy()] = merged["bits"].to_numpy()
+        bitmap = spark.sparkContext.broadcast(table.view(np.uint8))
+        counted = base.select("code", "text").mapInArrow(_mid_counts(bitmap, bits, group, groups), "n int, h long, mid long, stop long")
+        mids = counted if mids is None else mids.unionByName(counted)
+    mids = mids.groupBy("n", "h").agg(F.sum("mid").alias("mid"), F.sum("stop").alias("stop"))
+    counts = per_context.select("n", "h", "end").join(mids, ["n", "h"], "left")
     others = F.col("end") - 1  # but for this text
     end = F.when(others >= OTHERS, others).otherwise(0) + F.coalesce("stop", F.lit(0))
     seen = F.struct("n", end.cast("double").alias("e"), F.coalesce("mid", F.lit(0)).cast("double").alias("m"))
@@ -281,31 +327,33 @@ def ending_odds(rows: DataFrame, doc_id: str, text: str, code: Column) -> DataFr
     )
 
 
-def thresholds(odds: DataFrame) -> dict[str | None, float]:
-    """The emptiest place between the bounds in each language's smoothed histogram."""
-    step = 0.1
-    bins = odds.groupBy("code", F.floor(F.col("log_odds") / step).alias("bin")).agg(F.count("*").alias("k")).collect()
-    out: dict[str | None, float] = {}
-    for code in {b["code"] for b in bins}:
-        mine = {b["bin"]: b["k"] for b in bins if b["code"] == code}
-        middle = (LOW + HIGH) / 2
-        if sum(mine.values()) < LEAST_TEXTS:
-            out[code] = middle
-            continue
-        inside = np.arange(round(LOW / step), round(HIGH / step))
-        smooth = [sum(mine.get(int(b) + j, 0) * (3 - abs(j)) for j in range(-2, 3)) for b in inside]
-        least = min(smooth)
-        best = min((b for b, s in zip(inside, smooth) if s == least), key=lambda b: abs((b + 0.5) * step - middle))
-        out[code] = float((best + 0.5) * step)
-    return out
+def threshold(bins: dict[int, int]) -> float:
+    """The emptiest place of a histogram in steps of ``STEP``."""
+    total = sum(bins.values())
+    usual = round(USUAL / STEP)
+    places = range(min([*bins, usual]) - 2, max([*bins, usual]) + 3)
+
+    def crowd(b: int) -> float:
+        near = sum(bins.get(b + j, 0) * (3 - abs(j)) for j in range(-2, 3)) / 9
+        return near / max(total, 1) + PULL * ((b + 0.5) * STEP - USUAL) ** 2
+
+    return (min(places, key=crowd) + 0.5) * STEP
+
+
+def thresholds(odds: DataFrame) -> DataFrame:
+    """``code, threshold`` of each language."""
+    bins = odds.groupBy("code", F.floor(F.col("log_odds") / STEP).alias("bin")).agg(F.count("*").alias("k"))
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"code": frame["code"].iloc[:1], "threshold": [threshold(dict(zip(frame["bin"], frame["k"])))]})
+
+    return bins.groupBy("code").applyInPandas(one, "code string, threshold double")  # at most some 420 bins each
 
 
 def truncated(odds: DataFrame) -> DataFrame:
     """``odds`` with ``is_cut``; the log-odds are kept in the shared folder, since the threshold needs them first."""
-    limit = F.lit((LOW + HIGH) / 2)
-    for code, value in thresholds(odds).items():
-        limit = F.when(F.col("code").eqNullSafe(F.lit(code)), F.lit(value)).otherwise(limit)
-    return odds.withColumn("is_cut", F.col("log_odds") < limit)
+    limits = thresholds(odds).withColumnRenamed("code", "of")
+    return odds.join(limits, F.col("code").eqNullSafe(F.col("of"))).select(*odds.columns, (F.col("log_odds") < F.col("threshold")).alias("is_cut"))
 
 
 def truncation_rates(rows: DataFrame, doc_id: str, source: str, text: str, judged: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.llm.truncation import ORDERS, Contexts, ending, ending_odds, thresholds, truncated, truncation_rates
+from lexmill.llm import truncation
+from lexmill.llm.truncation import ORDERS, Contexts, bitmap_size, ending, ending_odds, threshold, thresholds, truncated, truncation_rates
 
 
 def test_hashes_tell_contexts_apart():
@@ -83,7 +84,33 @@ def test_counts_equal_brute_force(spark):
         assert got[r[0]] == pytest.approx(np.log(p / (1 - p)), rel=1e-6)
 
 
+def test_groups_and_small_tasks_count_alike(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(80), "doc_id long, code string, source string, text string")
+
+    def odds():
+        return {r.doc_id: round(r.log_odds, 9) for r in ending_odds(df, "doc_id", "text", F.col("code")).collect()}
+
+    once = odds()
+    monkeypatch.setattr(truncation, "MOST_BITS", 13)
+    monkeypatch.setattr(truncation, "LEAST_BITS", 8)
+    assert bitmap_size(700)[1] > 1
+    assert odds() == once
+    monkeypatch.setattr(truncation, "HELD", 50)
+    assert odds() == once
+
+
+def test_size_of_bitmaps():
+    assert bitmap_size(0) == (16, 1) and bitmap_size(1 << 24) == (29, 1) and bitmap_size((1 << 24) + 1) == (29, 2) and bitmap_size(1 << 26) == (29, 4)
+
+
+def test_threshold_lies_between_the_heaps_at_any_size():
+    heaps = {-90: 3, -80: 4, -70: 2, 10: 200, 20: 300, 30: 100, -35: 1}
+    few = threshold(heaps)
+    assert -6.5 < few < -3.6 and few == threshold({b: 1000 * k for b, k in heaps.items()})
+    assert threshold({}) == pytest.approx(-4.95) and threshold({-50: 1}) != pytest.approx(-4.95)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     odds = ending_odds(df, "doc_id", "text", F.lit("fr"))
-    assert odds.count() == 0 and thresholds(odds) == {} and truncated(odds).count() == 0
+    assert odds.count() == 0 and thresholds(odds).count() == 0 and truncated(odds).count() == 0
