@@ -6,29 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions.fixed import ACTS_AR, ACTS_FR, CHAMBER_CLASSES, NODE_TYPES, SUBJECT_AR, SUBJECT_FR
-from lexmill.functions.text import strip
+from lexmill.functions.text import let, strip
 
 
-def act_kind(heading: Column, language: Column, part: int) -> Column:
-    """CLS-01: type (``part`` 1) or slug (2) of an act by its heading; first rule that fits."""
-    text = strip(heading)
-    out = F.lit(None).cast("string")
-    for which, rules in (("AR", ACTS_AR), ("FR", ACTS_FR)):
-        chain = None
-        for rule in rules:
-            pattern = ("(?U)^" if which == "AR" else "(?iu)(?U)^") + rule[0]
-            chain = (F if chain is None else chain).when(text.rlike(pattern), rule[part])
-        default = ("OTHER", "act")[part - 1]
-        out = F.when(language == which, chain.otherwise(default)).otherwise(out)
-    return F.when(heading.isNotNull(), out)
+def act_kinds(heading: Column, language: Column) -> Column:
+    """CLS-01: struct of type and slug of an act by its heading; first rule that fits."""
+
+    def kind(name: str, slug: str) -> Column:
+        return F.struct(F.lit(name).alias("type"), F.lit(slug).alias("slug"))
+
+    def chosen(text: Column) -> Column:
+        out = None
+        for which, rules in (("AR", ACTS_AR), ("FR", ACTS_FR)):
+            chain = None
+            for pattern, name, slug in rules:
+                fits = text.rlike(("(?U)^" if which == "AR" else "(?iu)(?U)^") + pattern)
+                chain = (F if chain is None else chain).when(fits, kind(name, slug))
+            out = (F if out is None else out).when(language == which, chain.otherwise(kind("OTHER", "act")))
+        return out
+
+    return F.when(heading.isNotNull(), let(strip(heading), chosen))
 
 
 def act_type(heading: Column, language: Column) -> Column:
-    return act_kind(heading, language, 1)
+    return act_kinds(heading, language)["type"]
 
 
 def act_slug(heading: Column, language: Column) -> Column:
-    return act_kind(heading, language, 2)
+    return act_kinds(heading, language)["slug"]
 
 
 def heading_subject(heading: Column, language: Column) -> Column:

@@ -32,18 +32,24 @@ DATE_FR = r"(?iu)(?U)\b([0-9]{1,2})(?:er)?\s+([a-zéèûô]+)\s+([0-9]{4})\b"
 DATE_AR = rf"(?U)\b([0-9]{{1,2}})\s*({'|'.join(MONTHS_AR)})\s*(?:سنة\s+|عام\s+)?([0-9]{{4}})\b"
 
 
+def _named_date(text: Column, pattern: str, month) -> Column:
+    """The first place that fits, found once and then taken apart."""
+
+    def read(found: Column) -> Column:
+        name = month(F.regexp_extract(found, pattern, 2))
+        return F.concat(_found(found, pattern, 3), F.lit("-"), name, F.lit("-"), _day(_found(found, pattern, 1)))
+
+    return let(F.regexp_substr(text, F.lit(pattern)), read)
+
+
 def date_fr(text: Column) -> Column:
     """DAT-01: the first French date, ISO."""
-    name = F.translate(F.lower(F.regexp_extract(text, DATE_FR, 2)), "éèû", "eeu")
-    return F.concat(_found(text, DATE_FR, 3), F.lit("-"), _month(name, MONTHS_FR), F.lit("-"), _day(_found(text, DATE_FR, 1)))
+    return _named_date(text, DATE_FR, lambda name: _month(F.translate(F.lower(name), "éèû", "eeu"), MONTHS_FR))
 
 
 def date_ar(text: Column) -> Column:
     """DAT-02: the first Arabic date, eastern digits included, ISO."""
-    text = plain_digits(text)
-    return F.concat(
-        _found(text, DATE_AR, 3), F.lit("-"), _month(F.regexp_extract(text, DATE_AR, 2), MONTHS_AR), F.lit("-"), _day(_found(text, DATE_AR, 1))
-    )
+    return _named_date(plain_digits(text), DATE_AR, lambda name: _month(name, MONTHS_AR))
 
 
 def _ymd(text: Column, between: str) -> Column:

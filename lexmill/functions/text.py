@@ -18,9 +18,13 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: The characters of ``STRIP`` and the line feed.
+_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column) -> Column:
-    """Without white space of any kind at either end (``trim`` only knows the space)."""
-    return F.regexp_replace(text, rf"\A[{STRIP}\n]+|[{STRIP}\n]+\z", "")
+    """Without white space of any kind at either end; only the ends are looked at."""
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def clean_text(text: Column) -> Column:

@@ -1,7 +1,9 @@
 """Gazette issues to acts and articles, in native expressions.
 
-Every match of a heading gets a mark in front; splitting at the marks gives the
-pieces, their lengths the positions. Rejected headings do not end an act.
+Every match of a heading gets marks around it; splitting at the marks gives the
+pieces, their lengths the positions. Rejected headings do not end an act. An issue
+is one row, so repeats, ordinals and colliding bases are settled within its row,
+without a shuffle. Repeated rows come out alike.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.classify import act_kind, heading_subject
+from lexmill.functions.classify import act_kinds, heading_subject
 from lexmill.functions.dates import act_number, date_ar, date_fr, heading_number, padded
 from lexmill.functions.fixed import (
     ARTICLE_AR, ARTICLE_FR, CONTENTS_LINE, ERRATUM, FOLLOW_AR, FOLLOW_FR, HEADS_AR, HEADS_FR, PREAMBLES_AR, PREAMBLES_FR,
@@ -17,7 +19,7 @@ from lexmill.functions.fixed import (
 )
 from lexmill.functions.patterns import SPACE, portable
 from lexmill.functions.text import let, plain_digits, strip
-from lexmill.operators.identity import gazette_base, with_suffix
+from lexmill.operators.identity import gazette_base
 
 _OPEN = r"(?:^|\n)(?:#+\s*|\*\*)?"
 HEADING = {
@@ -35,11 +37,10 @@ def _per_language(language: Column, make) -> Column:
 
 def candidates(text: Column, language: Column) -> Column:
     """EXT-11, FLT-01..03: headings as structs (start, end, heading, in_contents, in_erratum, has_preamble)."""
-    marked = _per_language(language, lambda k: F.regexp_replace(text, HEADING[k], "\x01$0"))
+    marked = _per_language(language, lambda k: F.regexp_replace(text, HEADING[k], "\x01$0\x02$1\x02"))
 
-    def one(piece: Column, start: Column) -> Column:
-        whole = _per_language(language, lambda k: F.regexp_extract(piece, HEADING[k], 0))
-        heading = _per_language(language, lambda k: F.regexp_extract(piece, HEADING[k], 1))
+    def one(parts: Column, start: Column) -> Column:
+        whole, heading = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
         heading = F.rtrim(F.rtrim(strip(heading), F.lit("*")), F.lit("."))
 
         def judged(h: Column) -> Column:
@@ -59,11 +60,13 @@ def candidates(text: Column, language: Column) -> Column:
         return let(F.struct(whole.alias("whole"), heading.alias("heading")), judged)
 
     def all_of(pieces: Column) -> Column:
-        starts = F.aggregate(pieces, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
-        placed = F.slice(F.arrays_zip(pieces.alias("piece"), starts.alias("start")), 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-        return F.transform(placed, lambda p: one(p["piece"], p["start"]))
+        # pieces are (text before the first heading), then (heading with what opens it, heading, text that follows)
+        length = lambda p: F.length(F.get(p, F.lit(0))) + F.coalesce(F.length(F.get(p, F.lit(2))), F.lit(0))
+        starts = F.aggregate(pieces, F.array(F.lit(0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + length(p))))
+        placed = F.slice(F.arrays_zip(pieces.alias("parts"), starts.alias("start")), 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return F.transform(placed, lambda p: one(p["parts"], p["start"]))
 
-    return let(F.split(marked, "\x01", -1), all_of)
+    return let(F.transform(F.split(marked, "\x01", -1), lambda p: F.split(p, "\x02", 3)), all_of)
 
 
 def accepted(found: Column) -> Column:
@@ -79,37 +82,51 @@ def accepted(found: Column) -> Column:
 def acts(issues: DataFrame, year: str = "year", issue: str = "issue", language: str = "language", text: str = "text") -> DataFrame:
     """Acts of issues, one row each, with number, date, subject, hash, ordinal and canonical id."""
     key = [year, issue, language]
-    base = issues.withColumn("__text", F.when(F.col(language) == "AR", plain_digits(F.col(text))).otherwise(F.col(text)))
-    base = base.withColumn("__heads", accepted(candidates(F.col("__text"), F.col(language))))
-    spans = F.transform(
-        "__heads",
-        lambda h, i: F.struct(
-            h["start"].alias("start"), h["heading"].alias("heading"), F.coalesce(F.get(F.col("__heads"), i + 1)["start"], F.length("__text")).alias("stop")
-        ),
-    )
-    # one shuffle by issue serves all windows
-    rows = base.select(*key, "__text", F.explode(spans).alias("act")).select(
-        *key, "act.start", "act.heading", strip(F.substring(F.col("__text"), F.col("act.start") + 1, F.col("act.stop") - F.col("act.start"))).alias("full_text")
-    )
-    rows = rows.repartition(*key).withColumn("content_hash", F.sha2("full_text", 256))
-    first = Window.partitionBy(*key, "heading", "content_hash").orderBy("start")
-    rows = rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-    rows = rows.withColumn("ordinal", F.row_number().over(Window.partitionBy(*key).orderBy("start")))
     kind = F.col(language)
-    head = F.col("heading")
-    raw = heading_number(head, kind)
-    early = F.substring("full_text", 1, 500)
-    rows = rows.select(
-        "*",
-        act_kind(head, kind, 1).alias("document_type"),
-        act_kind(head, kind, 2).alias("type_slug"),
-        raw.alias("raw_number"),
-        act_number(raw, F.col(year)).alias("number"),
-        F.when(kind == "AR", F.coalesce(date_ar(head), date_ar(early))).otherwise(F.coalesce(date_fr(head), date_fr(early))).alias("date"),
-        heading_subject(head, kind).alias("subject"),
-    )
-    rows = rows.withColumn("base_id", gazette_base(F.col(year), F.col(issue), F.col("type_slug"), F.col("number"), F.col("ordinal"), kind))
-    return with_suffix(rows, "base_id", F.substring("content_hash", 1, 8), tuple(key))
+    base = issues.withColumn("__text", F.translate(F.when(kind == "AR", plain_digits(F.col(text))).otherwise(F.col(text)), "\x01\x02", "\x1a\x1a"))
+    base = base.select(*key, "__text", accepted(candidates(F.col("__text"), kind)).alias("__heads"))
+
+    def span(h: Column, i: Column) -> Column:
+        stop = F.coalesce(F.get(F.col("__heads"), i + 1)["start"], F.length("__text"))
+        body = strip(F.substring(F.col("__text"), h["start"] + 1, stop - h["start"]))
+        return let(body, lambda t: F.struct(h["start"].alias("start"), h["heading"].alias("heading"), t.alias("full_text"), F.sha2(t, 256).alias("content_hash")))
+
+    def firsts(found: Column) -> Column:
+        """Without later acts of the same heading and hash."""
+        names = F.transform(found, lambda a: F.concat_ws("\x02", a["heading"], a["content_hash"]))
+        return let(names, lambda n: F.filter(found, lambda a, i: F.array_position(n, F.get(n, i)) == i + 1))
+
+    def named(a: Column, i: Column) -> Column:
+        head, early = a["heading"], F.substring(a["full_text"], 1, 500)
+        known = F.struct(act_kinds(head, kind).alias("kinds"), heading_number(head, kind).alias("raw_number"))
+
+        def rest(k: Column) -> Column:
+            number = act_number(k["raw_number"], F.col(year))
+            date = F.when(kind == "AR", F.coalesce(date_ar(head), date_ar(early))).otherwise(F.coalesce(date_fr(head), date_fr(early)))
+            return let(
+                number,
+                lambda n: F.struct(
+                    *[a[c].alias(c) for c in ("start", "heading", "full_text", "content_hash")],
+                    (i + 1).alias("ordinal"),
+                    k["kinds"]["type"].alias("document_type"),
+                    k["kinds"]["slug"].alias("type_slug"),
+                    k["raw_number"].alias("raw_number"),
+                    n.alias("number"),
+                    date.alias("date"),
+                    heading_subject(head, kind).alias("subject"),
+                    gazette_base(F.col(year), F.col(issue), k["kinds"]["slug"], n, i + 1, kind).alias("base_id"),
+                ),
+            )
+
+        return let(known, rest)
+
+    acts_ = base.select(*key, let(F.transform("__heads", span), firsts).alias("__acts")).select(*key, F.transform("__acts", named).alias("__acts"))
+    bases = F.transform("__acts", lambda a: a["base_id"])
+    # an inner explode would filter by the size of its array first, and compute it once more for that
+    rows = acts_.select(*key, bases.alias("__bases"), F.explode_outer("__acts").alias("act")).filter("act IS NOT NULL").select(*key, "act.*", "__bases")
+    collides = F.array_position("__bases", F.col("base_id")) + F.array_position(F.reverse("__bases"), F.col("base_id")) != F.size("__bases") + 1
+    suffixed = F.concat("base_id", F.lit("_"), F.substring("content_hash", 1, 8))
+    return rows.withColumn("canonical_id", F.when(collides, suffixed).otherwise(F.col("base_id"))).drop("__bases")
 
 
 def act_documents(rows: DataFrame, year: str = "year", issue: str = "issue", language: str = "language") -> DataFrame:
@@ -160,7 +177,7 @@ def split_articles(text: Column, language: Column) -> Column:
 
 def articles(rows: DataFrame, key: str, text: str = "full_text", language: str = "language") -> DataFrame:
     """Articles of acts in order."""
-    return rows.select(key, language, F.explode(split_articles(F.col(text), F.col(language))).alias("a")).select(
+    return rows.select(key, language, F.explode_outer(split_articles(F.col(text), F.col(language))).alias("a")).filter("a IS NOT NULL").select(
         F.col(key).alias("parent_document_id"), "a.article_number", F.lit(None).cast("string").alias("title"), "a.text", language, "a.ordinal"
     )
 

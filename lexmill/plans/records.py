@@ -13,7 +13,7 @@ from lexmill.operators.gazette import HEADING, PREAMBLE, act_documents, acts, ar
 from lexmill.operators.identity import court_base, with_suffix
 from lexmill.plans import sqltext as S
 from lexmill.plans.registry import Registry
-from lexmill.plans.texts import language_of
+from lexmill.plans.texts import act_number_sql, french_arabic_date_sql, heading_number_sql, kinds_sql, language_of, subject_sql
 from lexmill.sources.tables import table
 
 registry = Registry()
@@ -94,40 +94,57 @@ _GAZETTE = "source IN ('joradp_fr', 'joradp_ar')"
 
 def _issues(spark: SparkSession, directory: str) -> DataFrame:
     """Each gazette document as an issue of its own: its title, then its text."""
-    rows = table(spark, directory, "documents").filter(_GAZETTE).filter("title IS NOT NULL AND full_text IS NOT NULL")
+    rows = table(spark, directory, "documents").filter(_GAZETTE).filter("full_text IS NOT NULL")
     return rows.select(F.col("year"), F.col("doc_id").cast("string").alias("issue"), language_of("language").alias("language"), F.concat_ws("\n", "title", "full_text").alias("text"))
 
 
-@registry.query()
-def gazette_acts(spark: SparkSession, directory: str) -> DataFrame:
-    return act_documents(acts(_issues(spark, directory)))
-
-
 def _acts_sql() -> str:
     """Headings, spans, exact repeats and ordinals in SQL; one language at a time."""
 
     def one(language: str) -> str:
         heading, preamble = (S.quoted(x.replace("(?iu)", "(?i)")) for x in (HEADING[language], PREAMBLE[language]))
         text = "translate(t, '٠١٢٣٤٥٦٧٨٩', '0123456789')" if language == "AR" else "t"
-        return f"""SELECT * FROM (WITH i AS (SELECT doc_id, {text} AS text FROM issues WHERE l = '{language}'),
-  m AS (SELECT doc_id, text, string_split(regexp_replace(text, {heading}, chr(1) || '\\0', 'g'), chr(1)) AS pieces FROM i),
-  e AS (SELECT doc_id, text, generate_subscripts(pieces, 1) AS k, unnest(pieces) AS piece FROM m),
+        return f"""SELECT * FROM (WITH i AS (SELECT doc_id, year, l, {text} AS text FROM issues WHERE l = '{language}'),
+  m AS (SELECT doc_id, year, l, text, string_split(regexp_replace(text, {heading}, chr(1) || '\\0', 'g'), chr(1)) AS pieces FROM i),
+  e AS (SELECT doc_id, year, l, text, generate_subscripts(pieces, 1) AS k, unnest(pieces) AS piece FROM m),
   s AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) - length(piece) AS start FROM e),
-  c AS (SELECT doc_id, text, start, length(regexp_extract(piece, {heading}, 0)) AS size, rtrim(rtrim({S.strip(f'regexp_extract(piece, {heading}, 1)')}, '*'), '.') AS heading FROM s WHERE k > 1),
+  c AS (SELECT doc_id, year, l, text, start, length(regexp_extract(piece, {heading}, 0)) AS size, rtrim(rtrim({S.strip(f'regexp_extract(piece, {heading}, 1)')}, '*'), '.') AS heading FROM s WHERE k > 1),
   f AS (SELECT *, regexp_matches(substring(text, CAST(start + size + 1 AS BIGINT), 1200), {preamble}) AS valid FROM c
     WHERE NOT regexp_matches(heading, {S.quoted(portable(CONTENTS_LINE))})
     AND NOT regexp_matches(lower({S.strip('substring(text, CAST(greatest(start - 60, 0) + 1 AS BIGINT), CAST(least(start, 60) AS BIGINT))')}), {S.quoted(portable(ERRATUM))})),
   v AS (SELECT *, bool_or(valid) OVER (PARTITION BY doc_id) AS has_some FROM f),
-  a AS (SELECT doc_id, text, start, heading, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), length(text)) AS stop FROM v WHERE valid OR NOT has_some),
-  h AS (SELECT doc_id, start, heading, sha256({S.strip('substring(text, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT))')}) AS content_hash FROM a),
+  a AS (SELECT doc_id, year, l, text, start, heading, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), length(text)) AS stop FROM v WHERE valid OR NOT has_some),
+  g AS (SELECT doc_id, year, l, start, heading, {S.strip('substring(text, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT))')} AS full_text FROM a),
+  h AS (SELECT *, sha256(full_text) AS content_hash FROM g),
   d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, heading, content_hash ORDER BY start) AS n FROM h)
-  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start) AS INTEGER) AS ordinal, heading, content_hash FROM d WHERE n = 1)"""
+  SELECT doc_id, year, l, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start) AS INTEGER) AS ordinal, heading, full_text, content_hash FROM d WHERE n = 1)"""
 
-    return f"""WITH issues AS (SELECT doc_id, {S.language('language')} AS l, title || chr(10) || full_text AS t FROM documents WHERE {_GAZETTE} AND title IS NOT NULL AND full_text IS NOT NULL)
+    return f"""WITH issues AS (SELECT doc_id, year, {S.language('language')} AS l, concat_ws(chr(10), title, full_text) AS t FROM documents WHERE {_GAZETTE} AND full_text IS NOT NULL)
 {one('FR')} UNION ALL {one('AR')}"""
 
 
-@registry.query(_acts_sql())
+def _act_rows_sql() -> str:
+    """The rows of acts: number, date, subject, and the id with its suffix where bases collide."""
+    date = lambda x: f"CASE WHEN l = 'AR' THEN {french_arabic_date_sql(x, 'AR')} ELSE {french_arabic_date_sql(x, 'FR')} END"
+    return f"""WITH a AS ({_acts_sql()}),
+n AS (SELECT *, heading AS title, {S.strip('heading')} AS t, {heading_number_sql('heading', 'l')} AS raw_number FROM a),
+k AS (SELECT *, raw_number AS document_number, {kinds_sql(1)} AS document_type, {kinds_sql(2)} AS type_slug, coalesce({date('heading')}, {date('substring(full_text, 1, 500)')}) AS date,
+  {subject_sql('l')} AS subject FROM n),
+m AS (SELECT *, {act_number_sql()} AS number FROM k),
+b AS (SELECT *, concat_ws('_', 'joradp', CAST(year AS VARCHAR), {S.padded('doc_id', 3)}, type_slug,
+  CASE WHEN nullif(number, '') IS NOT NULL THEN lower(regexp_replace(number, '[^a-zA-Z0-9-]', '', 'g')) ELSE 'ord' || ordinal END, lower(l)) AS base FROM m)
+SELECT CASE WHEN count(*) OVER (PARTITION BY doc_id, base) > 1 THEN base || '_' || substring(content_hash, 1, 8) ELSE base END AS canonical_id, document_type,
+  'LEGISLATIVE_NORM' AS document_nature, 'REPUBLIC' AS jurisdiction, 'LEGISLATIVE' AS court_level, heading AS title, coalesce(nullif(number, ''), raw_number) AS document_number,
+  'JO ' || CAST(year AS VARCHAR) || '-' || {S.padded('doc_id', 3)} AS publication_number, date, year, l AS language, subject, full_text, 'markdown' AS text_format,
+  'FULL_TEXT' AS text_completeness, 'MARKDOWN_PARSE' AS extraction_method, 'HIGH' AS extraction_quality, content_hash AS canonical_hash, 'NOT_ANONYMIZED' AS anonymization_status FROM b"""
+
+
+@registry.query(_act_rows_sql())
+def gazette_acts(spark: SparkSession, directory: str) -> DataFrame:
+    return act_documents(acts(_issues(spark, directory)))
+
+
+@registry.query(f"SELECT doc_id, ordinal, heading, content_hash FROM ({_acts_sql()})")
 def act_segments(spark: SparkSession, directory: str) -> DataFrame:
     return acts(_issues(spark, directory)).select(F.col("issue").cast("long").alias("doc_id"), "ordinal", "heading", "content_hash")
 

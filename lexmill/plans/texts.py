@@ -81,8 +81,14 @@ def _date_sql(x: str, pattern: str, months: dict[str, str], fold: bool, flags: s
     return f"{S.found(x, pattern, 3, flags)} || '-' || {S.mapping(months)}[{name}] || '-' || {day}"
 
 
-scalar("dates_fr", "documents", "doc_id", lambda: {"date_found": D.date_fr(col("title"))}, {"date_found": _date_sql("title", _FR, MONTHS_FR, True, "(?i)")})
-scalar("dates_ar", "documents", "doc_id", lambda: {"date_found": D.date_ar(col("title"))}, {"date_found": _date_sql("translate(title, '٠١٢٣٤٥٦٧٨٩', '0123456789')", _AR, MONTHS_AR, False, "")})
+def french_arabic_date_sql(x: str, language: str) -> str:
+    if language == "FR":
+        return _date_sql(x, _FR, MONTHS_FR, True, "(?i)")
+    return _date_sql(f"translate({x}, '٠١٢٣٤٥٦٧٨٩', '0123456789')", _AR, MONTHS_AR, False, "")
+
+
+scalar("dates_fr", "documents", "doc_id", lambda: {"date_found": D.date_fr(col("title"))}, {"date_found": french_arabic_date_sql("title", "FR")})
+scalar("dates_ar", "documents", "doc_id", lambda: {"date_found": D.date_ar(col("title"))}, {"date_found": french_arabic_date_sql("title", "AR")})
 
 
 def _numeric_sql(x: str, between: str) -> str:
@@ -110,18 +116,26 @@ scalar(
         "council": "CASE WHEN length(date) >= 4 THEN TRY_CAST(substring(date, 1, 4) AS INTEGER) ELSE nullif(issue_year, 0) END",
     },
 )
-_KEPT = "translate(regexp_replace(document_number, '[^0-9–/-]', '', 'g'), '–/', '--')"
-_P1, _P2, _SUF = f"string_split({_KEPT}, '-')[1]", f"string_split({_KEPT}, '-')[2]", "right(CAST(year AS VARCHAR), 2)"
-_TWO = lambda p: f"{_SUF} || '-' || {S.padded(f'TRY_CAST({p} AS INTEGER)', 2)}"
-scalar(
-    "act_number", "documents", "doc_id", lambda: {"number": D.act_number(col("document_number"), col("year"))},
-    {"number": f"""CASE WHEN nullif(document_number, '') IS NULL THEN NULL WHEN len(string_split({_KEPT}, '-')) <> 2 THEN {_KEPT}
-        WHEN {_P2} = {_SUF} AND {_P1} <> {_SUF} THEN coalesce({_TWO(_P1)}, {_P1} || '-' || {_P2}) WHEN {_P1} = {_SUF} THEN coalesce({_TWO(_P2)}, {_P1} || '-' || {_P2}) ELSE {_P1} || '-' || {_P2} END"""},
-)
+def act_number_sql() -> str:
+    """From columns ``document_number`` and ``year``."""
+    kept = "translate(regexp_replace(document_number, '[^0-9–/-]', '', 'g'), '–/', '--')"
+    first, second, suffix = f"string_split({kept}, '-')[1]", f"string_split({kept}, '-')[2]", "right(CAST(year AS VARCHAR), 2)"
+    two = lambda p: f"{suffix} || '-' || {S.padded(f'TRY_CAST({p} AS INTEGER)', 2)}"
+    return f"""CASE WHEN nullif(document_number, '') IS NULL THEN NULL WHEN len(string_split({kept}, '-')) <> 2 THEN {kept}
+        WHEN {second} = {suffix} AND {first} <> {suffix} THEN coalesce({two(first)}, {first} || '-' || {second})
+        WHEN {first} = {suffix} THEN coalesce({two(second)}, {first} || '-' || {second}) ELSE {first} || '-' || {second} END"""
+
+
+scalar("act_number", "documents", "doc_id", lambda: {"number": D.act_number(col("document_number"), col("year"))}, {"number": act_number_sql()})
 _NUM = r"\s*([0-9]{2,4}[-–/][0-9]{1,4}|[0-9]+)"
+
+
+def heading_number_sql(x: str, language: str) -> str:
+    return f"CASE WHEN {language} = 'AR' THEN {S.found(x, 'رقم' + _NUM)} ELSE {S.found(x, r'(?:^|[^\p{L}\p{N}_])n°?' + _NUM, 1, '(?i)')} END"
+
+
 scalar(
-    "heading_number", "documents", "doc_id", lambda: {"number": D.heading_number(col("title"), language_of("language"))},
-    {"number": f"CASE WHEN {S.language('language')} = 'AR' THEN {S.found('title', 'رقم' + _NUM)} ELSE {S.found('title', r'(?:^|[^\p{L}\p{N}_])n°?' + _NUM, 1, '(?i)')} END"},
+    "heading_number", "documents", "doc_id", lambda: {"number": D.heading_number(col("title"), language_of("language"))}, {"number": heading_number_sql("title", S.language("language"))}
 )
 scalar("decision_numbers", "revue_index", "id", lambda: {"number": D.decision_number(col("decision_number"))}, {"number": S.found(S.clean("decision_number"), r"(\d+)")})
 scalar(
@@ -138,7 +152,9 @@ scalar(
 
 
 # classes
-def _acts_sql(part: int) -> str:
+def kinds_sql(part: int) -> str:
+    """From columns ``t`` (heading) and ``l`` (language)."""
+
     def chain(rules: tuple, flags: str) -> str:
         whens = " ".join(f"WHEN regexp_matches(t, {S.quoted(flags + '^' + boundless(p))}) THEN '{(kind, slug)[part - 1]}'" for p, kind, slug in rules)
         return f"CASE {whens} ELSE '{('OTHER', 'act')[part - 1]}' END"
@@ -146,7 +162,7 @@ def _acts_sql(part: int) -> str:
     return f"CASE WHEN l = 'AR' THEN {chain(ACTS_AR, '')} WHEN l = 'FR' THEN {chain(ACTS_FR, '(?i)')} END"
 
 
-@registry.query(f"SELECT doc_id, {_acts_sql(1)} AS act_type, {_acts_sql(2)} AS act_slug FROM (SELECT doc_id, {S.strip('title')} AS t, {S.language('language')} AS l FROM documents WHERE title IS NOT NULL)")
+@registry.query(f"SELECT doc_id, {kinds_sql(1)} AS act_type, {kinds_sql(2)} AS act_slug FROM (SELECT doc_id, {S.strip('title')} AS t, {S.language('language')} AS l FROM documents WHERE title IS NOT NULL)")
 def classify_prefix(spark: SparkSession, directory: str) -> DataFrame:
     rows = table(spark, directory, "documents").filter("title IS NOT NULL")
     return rows.select("doc_id", C.act_type(col("title"), language_of("language")).alias("act_type"), C.act_slug(col("title"), language_of("language")).alias("act_slug"))
@@ -157,10 +173,12 @@ def _subject_sql(verbs: tuple[str, ...], flags: str) -> str:
     return f"regexp_extract(title, {S.quoted(pattern)}, 1)"
 
 
-scalar(
-    "heading_subject", "documents", "doc_id", lambda: {"subject_found": C.heading_subject(col("title"), language_of("language"))},
-    {"subject_found": f"nullif(rtrim({S.strip(f'''CASE WHEN {S.language('language')} = 'AR' THEN {_subject_sql(SUBJECT_AR, '')} ELSE {_subject_sql(SUBJECT_FR, '(?i)')} END''')}, '.'), '')"},
-)
+def subject_sql(language: str) -> str:
+    """From column ``title``."""
+    return f"nullif(rtrim({S.strip(f"CASE WHEN {language} = 'AR' THEN {_subject_sql(SUBJECT_AR, '')} ELSE {_subject_sql(SUBJECT_FR, '(?i)')} END")}, '.'), '')"
+
+
+scalar("heading_subject", "documents", "doc_id", lambda: {"subject_found": C.heading_subject(col("title"), language_of("language"))}, {"subject_found": subject_sql(S.language("language"))})
 scalar(
     "chamber_classes", "decisions", "id", lambda: {"css": C.taxonomy_class(F.concat(F.lit("post decision "), "chamber_class")), "group_label": C.chamber_of_class(col("chamber_class"))},
     {
