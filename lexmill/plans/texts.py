@@ -83,8 +83,8 @@ def _date_sql(x: str, pattern: str, months: dict[str, str], fold: bool, flags: s
 
 def french_arabic_date_sql(x: str, language: str) -> str:
     if language == "FR":
-        return _date_sql(x, _FR, MONTHS_FR, True, "(?i)")
-    return _date_sql(f"translate({x}, '٠١٢٣٤٥٦٧٨٩', '0123456789')", _AR, MONTHS_AR, False, "")
+        return _date_sql(x, portable(_FR), MONTHS_FR, True, "(?i)")
+    return _date_sql(f"translate({x}, '٠١٢٣٤٥٦٧٨٩', '0123456789')", portable(_AR), MONTHS_AR, False, "")
 
 
 scalar("dates_fr", "documents", "doc_id", lambda: {"date_found": D.date_fr(col("title"))}, {"date_found": french_arabic_date_sql("title", "FR")})
@@ -131,7 +131,7 @@ _NUM = r"\s*([0-9]{2,4}[-–/][0-9]{1,4}|[0-9]+)"
 
 
 def heading_number_sql(x: str, language: str) -> str:
-    return f"CASE WHEN {language} = 'AR' THEN {S.found(x, 'رقم' + _NUM)} ELSE {S.found(x, r'(?:^|[^\p{L}\p{N}_])n°?' + _NUM, 1, '(?i)')} END"
+    return f"CASE WHEN {language} = 'AR' THEN {S.found(x, 'رقم' + _NUM)} ELSE {S.found(x, r'(?:^|[^\p{L}\p{N}_])n°?' + portable(_NUM), 1, '(?i)')} END"
 
 
 scalar(
