@@ -265,15 +265,17 @@ def discovery_methods(spark: SparkSession, directory: str) -> DataFrame:
     return R.discovery_methods(_found(spark, directory)).select("url", F.array_join("methods", ",").alias("methods"))
 
 
-@registry.query("SELECT m AS method, count(*) AS n FROM (SELECT min(event_type) AS m FROM events GROUP BY user_id HAVING count(DISTINCT event_type) = 1) GROUP BY 1")
+@registry.query("SELECT m AS method, count(*) AS n FROM (SELECT min(event_type) AS m FROM events GROUP BY user_id, CAST(ts AS DATE) HAVING count(DISTINCT event_type) = 1) GROUP BY 1")
 def single_method(spark: SparkSession, directory: str) -> DataFrame:
-    return R.single_method(R.discovery_methods(_found(spark, directory)))
+    url = F.concat_ws("/", "user_id", F.to_date("ts").cast("string"))
+    found = table(spark, directory, "events").select(url.alias("url"), F.col("event_type").alias("method"))
+    return R.single_method(R.discovery_methods(found))
 
 
-@registry.query("""SELECT pdf_url, n, url FROM (SELECT *, count(*) OVER (PARTITION BY pdf_url) AS n FROM (SELECT DISTINCT content_hash AS pdf_url, source_url AS url FROM decisions WHERE content_hash IS NOT NULL)) WHERE n > 1""")
+@registry.query("""SELECT pdf_url, n, url FROM (SELECT *, count(*) OVER (PARTITION BY pdf_url) AS n FROM (SELECT DISTINCT publication_number AS pdf_url, canonical_id AS url FROM documents WHERE publication_number IS NOT NULL)) WHERE n > 1""")
 def shared_targets(spark: SparkSession, directory: str) -> DataFrame:
-    rows = table(spark, directory, "decisions").filter("content_hash IS NOT NULL")
-    return R.shared_targets(rows.select(F.col("source_url").alias("url"), F.col("content_hash").alias("pdf_url")))
+    rows = table(spark, directory, "documents").filter("publication_number IS NOT NULL")
+    return R.shared_targets(rows.select(F.col("canonical_id").alias("url"), F.col("publication_number").alias("pdf_url")))
 
 
 @registry.query("SELECT id, url FROM (SELECT id, source_url AS url, row_number() OVER (PARTITION BY source_url ORDER BY id) AS k FROM decisions) WHERE k = 1")

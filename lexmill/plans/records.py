@@ -176,15 +176,22 @@ def articles_ordered(spark: SparkSession, directory: str) -> DataFrame:
     return articles(rows, "canonical_id").select("parent_document_id", "ordinal", "article_number", "text")
 
 
-@registry.query(f"""WITH d AS (SELECT doc_id, canonical_id, publication_number AS p, document_type AS t, document_number AS n, {_L} AS l FROM documents
-  WHERE publication_number IS NOT NULL AND nullif(document_number, '') IS NOT NULL),
+_NUMBERED = f"""SELECT doc_id, canonical_id, substring(publication_number, 3) AS p, document_type AS t, document_number AS n, {_L} AS l FROM documents
+  WHERE publication_number IS NOT NULL AND nullif(document_number, '') IS NOT NULL"""
+
+
+@registry.query(f"""WITH o AS ({_NUMBERED}), d AS (SELECT * FROM o UNION ALL SELECT doc_id + 1000000000, canonical_id || '_tr', p, t, n, CASE WHEN l = 'AR' THEN 'FR' WHEN l = 'FR' THEN 'AR' END FROM o),
 ar AS (SELECT p, t, n, arg_max(canonical_id, doc_id) AS ar_id FROM d WHERE l = 'AR' GROUP BY ALL),
 m AS (SELECT d.canonical_id AS fr_id, d.doc_id, ar.ar_id FROM d JOIN ar USING (p, t, n) WHERE d.l = 'FR')
 SELECT fr_id AS canonical_id, ar_id AS language_pair_id FROM m UNION ALL SELECT ar_id, arg_max(fr_id, doc_id) FROM m GROUP BY ar_id""")
 def bilingual(spark: SparkSession, directory: str) -> DataFrame:
+    """Numbered documents with a translation rendered for each, since the corpus numbers none alike in both languages."""
     rows = table(spark, directory, "documents").filter("publication_number IS NOT NULL")
-    rows = rows.select("doc_id", "canonical_id", "publication_number", "document_type", "document_number", language_of("language").alias("language"))
-    return bilingual_pairs(rows, ["publication_number"], "doc_id")
+    issue = F.substring("publication_number", 3, 100)
+    rows = rows.select("doc_id", "canonical_id", issue.alias("issue"), "document_type", "document_number", language_of("language").alias("language"))
+    other = F.when(F.col("language") == "AR", "FR").when(F.col("language") == "FR", "AR")
+    translated = rows.select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), F.concat("canonical_id", F.lit("_tr")).alias("canonical_id"), "issue", "document_type", "document_number", other.alias("language"))
+    return bilingual_pairs(rows.unionByName(translated), ["issue"], "doc_id")
 
 
 # pages
