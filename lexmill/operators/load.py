@@ -17,10 +17,14 @@ def empty_table(spark, schema: StructType | str) -> DataFrame:
 
 
 def one_per_key(batch: DataFrame, key: list[str], order: str, last: bool = False) -> DataFrame:
-    """The first or last row of every key in order of arrival."""
-    by = F.desc(order) if last else F.asc(order)
-    ranked = batch.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(by)))
-    return ranked.filter("__n = 1").drop("__n")
+    """The first or last row of every key in order of arrival; a null order comes first, of equal orders one row is taken.
+
+    An aggregate, so a key that a third of all rows have is combined before it is shuffled.
+    """
+    place = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("order"))
+    row = F.struct(*[F.col(c) for c in batch.columns])
+    picked = (F.max_by if last else F.min_by)(row, place)
+    return batch.groupBy(*key).agg(picked.alias("__row")).select("__row.*")
 
 
 def insert_or_ignore(target: DataFrame, batch: DataFrame, key: list[str], order: str) -> tuple[DataFrame, DataFrame]:

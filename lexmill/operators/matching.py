@@ -103,13 +103,15 @@ def offset_samples(decisions: DataFrame, entries: DataFrame) -> DataFrame:
 def footer_samples(pages: DataFrame) -> DataFrame:
     """WIN-11: page differences from footers ``- n -`` in the last three lines of the first 150 pages."""
     issue = ["issue_year", "issue_number"]
-    first = Window.partitionBy(*issue).orderBy("page_no")
-    early = pages.withColumn("k", F.row_number().over(first)).filter("k <= 150")
     lines = F.split(F.regexp_replace("text", r"\A\s+|\s+\z", ""), "\n")
     last = F.slice(lines, F.greatest(F.size(lines) - 2, F.lit(1)), 3)
     numbers = F.transform(last, lambda x: F.regexp_extract(x, r"^\s*-\s*(\d+)\s*-\s*$", 1).try_cast("int"))
     printed = F.get(F.filter(numbers, lambda n: n.between(1, 2000)), F.lit(0))
-    return early.select(*issue, (F.col("page_no") - printed).alias("offset"), F.col("page_no").alias("seq")).filter("offset IS NOT NULL")
+    # what is ranked has no text
+    narrow = pages.select(*issue, "page_no", printed.alias("printed"))
+    first = Window.partitionBy(*issue).orderBy("page_no")
+    early = narrow.withColumn("k", F.row_number().over(first)).filter("k <= 150")
+    return early.select(*issue, (F.col("page_no") - F.col("printed")).alias("offset"), F.col("page_no").alias("seq")).filter("offset IS NOT NULL")
 
 
 def search_samples(entries: DataFrame, pages: DataFrame, reach: int = 10) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.operators.load import one_per_key
+
 
 def reconcile(site: DataFrame, stored: DataFrame, column: str = "url") -> DataFrame:
     """SET-01: each URL with where it is: site only, stored only or both; nulls are left out."""
@@ -51,5 +53,4 @@ def shared_targets(pages: DataFrame) -> DataFrame:
 
 def first_by_url(items: DataFrame, order: str) -> DataFrame:
     """SET-04: the first item of every URL, in order."""
-    ranked = items.withColumn("__n", F.row_number().over(Window.partitionBy("url").orderBy(order)))
-    return ranked.filter("__n = 1").drop("__n")
+    return one_per_key(items, ["url"], order)

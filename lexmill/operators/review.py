@@ -22,15 +22,30 @@ def segment(pages: DataFrame, issue: list[str]) -> DataFrame:
 
     A start line opens an island; its chamber is the last section seen before.
     Each labelled field takes its first value, the operative part sets a flag.
-    The window is per issue, whose pages are bounded.
+    Lines are ordered within their page; over an issue only the pages' numbers of
+    starts and last sections are. A page is there once; of texts for one page the lowest counts.
     """
     line = F.col("line")
     starts = line.rlike(portable(DECISION_LINE)) & ~line.rlike(r"\.{2,}\s*\d+\s*$")
     section = F.nullif(F.regexp_replace(strip(F.regexp_extract(line, portable(SECTION_LINE), 1)), portable(r"\s+"), " "), F.lit(""))
-    ordered = Window.partitionBy(*issue).orderBy("page_no", "line_no")
-    rows = page_lines(pages, issue).withColumn("starts", starts).withColumn("section", F.when(~starts, section))
-    rows = rows.withColumn("island", F.sum(F.col("starts").cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("chamber_before", F.last("section", True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
+    once = pages.groupBy(*issue, "page_no").agg(F.min("text").alias("text"))
+    rows = page_lines(once, issue).withColumn("starts", starts).withColumn("section", F.when(~starts, section))
+    sums = rows.groupBy(*issue, "page_no").agg(
+        F.sum(F.col("starts").cast("int")).alias("n_starts"), F.max_by("section", F.when(F.col("section").isNotNull(), F.col("line_no"))).alias("last_section")
+    )
+    before = Window.partitionBy(*issue).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        *[F.col(c).alias(f"of_{c}") for c in (*issue, "page_no")],
+        F.coalesce(F.sum("n_starts").over(before), F.lit(0)).alias("past_starts"),
+        F.last("last_section", True).over(before).alias("past_section"),
+    )
+    same = F.lit(True)
+    for c in (*issue, "page_no"):
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    ordered = Window.partitionBy(*issue, "page_no").orderBy("line_no")
+    rows = rows.withColumn("started", F.sum(F.col("starts").cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("section_here", F.last("section", True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.join(sums, same).withColumn("island", F.col("started") + F.col("past_starts")).withColumn("chamber_before", F.coalesce("section_here", "past_section"))
     at = F.struct("page_no", "line_no")
     fields = {}
     taken = F.lit(False)

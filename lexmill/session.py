@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -20,6 +22,7 @@ def build_session(app: str = "lexmill", cpus: str | int = "*", shuffle: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEXMILL_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -38,17 +41,26 @@ def find_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Set the folder of the context: what ``spark.checkpoint.dir`` names, or one of this machine if the session is local."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="lexmill-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    context.setCheckpointDir(named)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df``, written to and read back from the session's checkpoint folder.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset (tests, the bench) a temporary folder of this machine is used.
+    Spark removes what is no longer referred to where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lexmill.operators.gazette import act_documents, acts
@@ -66,6 +68,31 @@ def test_stream_load_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
 
 
+def test_stream_load_survives_replays_and_stops_at_unreadable_targets(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    for n in range(1, 4):
+        issue(source, "Fr", 2023, n, text=ACT.format(n=n))
+
+    def parse(batch):
+        return act_documents(acts(I.parsed_issues(batch))).select("canonical_id", "title", F.lit(1).alias("seq"))
+
+    def load(checkpoint):
+        load_stream(issue_stream(spark, str(source), 2), parse, str(target), ["canonical_id"], "seq", str(tmp_path / checkpoint)).awaitTermination()
+
+    load("c")
+    last = sorted((tmp_path / "c" / "commits").glob("[0-9]*"))[-1]
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    last.unlink()  # as if the driver were lost after the write, before the commit
+    load("c")
+    assert spark.read.parquet(str(target)).count() == 3
+    for file in target.rglob("*.parquet"):
+        file.write_bytes(b"broken")
+    for file in target.rglob(".*.crc"):
+        file.unlink()
+    with pytest.raises(StreamingQueryException):
+        load("d")
+
+
 def test_status_stream(spark, tmp_path):
     rows = [("a", "found", "2025-01-01 00:00:00"), ("a", "found", "2025-01-01 00:00:00"), ("b", "error", "2025-01-01 00:10:00")]
     spark.createDataFrame(rows, "url string, status string, at string").withColumn("at", F.to_timestamp("at")).coalesce(1).write.parquet(str(tmp_path / "log"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,49 @@ def test_lifecycle(spark):
     assert [r.start for r in L.limited_starts(arrivals, ["g"], "a", "i", 2.0).orderBy("i").collect()] == [0, 2, 4, 10, 12]
 
 
+def test_hot_groups_run_in_stretches(spark, monkeypatch):
+    """One group of most rows: the same as one row after the other, though no task holds it."""
+    monkeypatch.setattr(L, "STRETCH_ROWS", 40)
+    rng = random.Random(4)
+    for most in (3, 25, 60):
+        hot = [("hot", i, rng.random() < (0.95 if i > 200 else 0.6)) for i in range(400)]
+        rows = hot + [(None, i, i % 2 == 0) for i in range(30)] + [("all", i, True) for i in range(most + 2)]
+        scan = spark.createDataFrame(rows, "g string, n int, miss boolean")
+        expected = []
+        for group in ("hot", None, "all"):
+            run = 0
+            for _, n, miss in (r for r in rows if r[0] == group):
+                run = run + 1 if miss else 0
+                expected.append((group, n))
+                if run == most:
+                    break
+        got = [(r.g, r.n) for r in L.until_misses(scan, ["g"], "n", F.col("miss"), most).collect()]
+        assert sorted(got, key=str) == sorted(expected, key=str)
+    arrivals = [("hot", i, float(rng.randrange(0, 900))) for i in range(400)] + [("b", i, float(i)) for i in range(20)]
+    expected = {}
+    for group in ("hot", "b"):
+        free = None
+        for _, i, a in sorted((r for r in arrivals if r[0] == group), key=lambda r: (r[2], r[1])):
+            free = a if free is None else max(a, free + 2.0)
+            expected[group, i] = free
+    rows = spark.createDataFrame(arrivals, "g string, i int, a double")
+    assert {(r.g, r.i): r.start for r in L.limited_starts(rows, ["g"], "a", "i", 2.0).collect()} == expected
+
+
+def test_one_per_key_of_null_orders(spark):
+    rows = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 7, 3), (None, None, 4), (None, 2, 5)], "k string, o int, v int")
+    assert sorted(r.v for r in O.one_per_key(rows, ["k"], "o").collect()) == [1, 4]
+    assert sorted(r.v for r in O.one_per_key(rows, ["k"], "o", last=True).collect()) == [3, 5]
+    assert "Window" not in O.one_per_key(rows, ["k"], "o")._jdf.queryExecution().toString()
+
+
+def test_sections_go_on_over_pages(spark):
+    rows = [(1, 2, "ملف رقم 1 قرار بتاريخ 2020/01/02"), (1, 1, "# 1. الغرفة المدنية\nx"), (1, 3, "الموضوع: بيع\n# 2. الغرفة الجنائية\nملف رقم 2 قرار بتاريخ 2020/01/03"), (1, 3, "ييي"), (None, 1, "ملف رقم 3 قرار بتاريخ 2020/01/04")]
+    pages = spark.createDataFrame(rows, "issue int, page_no int, text string")
+    got = {r.decision_number: (r.issue, r.chamber_raw, r.start_page, r.subject) for r in segment(pages, ["issue"]).collect()}
+    assert got == {"1": (1, "الغرفة المدنية", 2, "بيع"), "2": (1, "الغرفة الجنائية", 3, None), "3": (None, None, 1, None)}
+
+
 def test_reconcile_and_audit(spark):
     url = lambda *u: spark.createDataFrame([(x,) for x in u], "url string")
     sides = R.reconcile(url("a", "b", "b", None), url("b", "c"))
