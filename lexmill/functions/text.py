@@ -139,3 +139,11 @@ def without_label(text: Column) -> Column:
 def sha256(text: Column) -> Column:
     """HSH-01: SHA-256 of the UTF-8 text or the bytes, in hexadecimal."""
     return F.sha2(text, 256)
+
+
+def register(spark) -> list[str]:
+    """The functions that need Python under SQL names; gives the names."""
+    made = {"lexmill_nfc": nfc, "lexmill_guide_text": _guide}
+    for name, function in made.items():
+        spark.udf.register(name, function)
+    return sorted(made)

@@ -14,8 +14,22 @@ MOST_STATUSES = 1000
 
 def child_without_parent(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """JON-03, JON-04: rows whose key no parent has; a null key has none, either."""
-    keys = parent.select(F.col(parent_key).alias("__k")).distinct()
-    return child.join(keys, child[child_key] == keys["__k"], "left_anti")
+    keys = parent.select(F.col(parent_key).alias("__k"))
+    return child.join(keys, F.col(child_key) == F.col("__k"), "left_anti")
+
+
+def orphan_counts(children: dict[str, tuple[DataFrame, str]], parent: DataFrame, parent_key: str) -> DataFrame:
+    """JON-04: ``reference, n_violations`` of all children in one join; equal keys of a reference are counted before it."""
+    every = None
+    for name, (rows, key) in children.items():
+        one = rows.select(F.lit(name).alias("reference"), F.col(key).alias("__key"))
+        every = one if every is None else every.unionByName(one)
+    keyed = every.groupBy("reference", "__key").agg(F.count("*").alias("n"))
+    parents = parent.select(F.col(parent_key).alias("__k"), F.lit(True).alias("__there")).distinct()
+    joined = keyed.join(parents, F.col("__key") == F.col("__k"), "left")
+    counts = joined.groupBy("reference").agg(F.coalesce(F.sum(F.when(F.col("__there").isNull(), F.col("n"))), F.lit(0)).alias("n_violations"))
+    names = parent.sparkSession.createDataFrame([(n,) for n in children], "reference string")
+    return names.join(counts, "reference", "left").select("reference", F.coalesce("n_violations", F.lit(0)).alias("n_violations"))
 
 
 def count_by(rows: DataFrame, column: str) -> DataFrame:
@@ -95,40 +109,65 @@ def coverage(rows: DataFrame, key: list[str], status: str, known: tuple[str, ...
     return rows.groupBy(*key).pivot(status, order).agg(F.count(F.lit(1))).fillna(0, order)
 
 
-def value_row(name: str, frame: DataFrame, value: Column, good: Column | None = None) -> DataFrame:
-    """One check: its name, value and whether it holds."""
-    out = frame.agg(value.cast("long").alias("value"))
-    ok = F.lit(True) if good is None else good
-    return out.select(F.lit(name).alias("name"), "value", ok.alias("ok"))
+def _checks(frame: DataFrame, names: list[str], zero: tuple[str, ...] = ()) -> DataFrame:
+    """Columns of one row as rows of name, value and whether it holds: a value in ``zero`` must be 0."""
+    pairs = ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n in names)
+    out = frame.selectExpr(f"stack({len(names)}, {pairs}) AS (name, value)")
+    return out.withColumn("ok", F.when(F.col("name").isin(*zero), F.col("value") == 0).otherwise(True) if zero else F.lit(True))
 
 
 def corpus_checks(documents: DataFrame, provenance: DataFrame, articles: DataFrame, relations: DataFrame) -> DataFrame:
-    """AUD-01, AUD-02, AGG-05: the corpus audit as rows of name, value and whether it holds."""
-    zero = F.col("value") == 0
-    dup = duplicate_count(articles, ["parent_document_id", "ordinal"])
-    ids = documents.agg(
-        F.count_if(~filled(F.col("canonical_id"))).alias("empty"), (F.count("*") - F.countDistinct("canonical_id")).alias("repeated")
+    """AUD-01, AUD-02, AGG-05: the corpus audit as rows of name, value and whether it holds; a few passes over keys and years."""
+    ids = documents.groupBy("canonical_id").agg(F.count("*").alias("n"))
+    ids = ids.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count_documents"),
+        F.coalesce(F.sum(F.when(~filled(F.col("canonical_id")), F.col("n"))), F.lit(0)).alias("ids_empty"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("canonical_id")).alias("ids_repeated"),
     )
-    checks = [
-        *[value_row(f"count_{n}", t, F.count("*")) for n, t in (("documents", documents), ("provenance", provenance), ("articles", articles), ("relations", relations))],
-        ids.select(F.lit("ids_empty").alias("name"), F.col("empty").cast("long").alias("value"), (F.col("empty") == 0).alias("ok")),
-        ids.select(F.lit("ids_repeated").alias("name"), F.col("repeated").cast("long").alias("value"), (F.col("repeated") == 0).alias("ok")),
-        value_row("provenance_without_document", child_without_parent(provenance, "canonical_id", documents, "canonical_id"), F.count("*"), zero),
-        value_row("document_without_provenance", child_without_parent(documents, "canonical_id", provenance, "canonical_id"), F.count("*"), zero),
-        value_row("article_without_document", child_without_parent(articles, "parent_document_id", documents, "canonical_id"), F.count("*"), zero),
-        value_row("relation_without_target", child_without_parent(relations, "target_id", documents, "canonical_id"), F.count("*"), zero),
-        value_row("relation_without_source", child_without_parent(relations, "source_id", documents, "canonical_id"), F.count("*"), zero),
-        dup.select(F.lit("duplicate_article_positions").alias("name"), F.col("n_groups").alias("value"), (F.col("n_groups") == 0).alias("ok")),
-        value_row("first_year", documents, F.min("year")),
-        value_row("last_year", documents, F.max("year")),
-        value_row("distinct_years", documents, F.countDistinct("year")),
+    years = documents.groupBy("year").agg(F.lit(1).alias("one")).agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count("year").alias("distinct_years"))
+    places = articles.groupBy("parent_document_id", "ordinal").agg(F.count("*").alias("n"))
+    places = places.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count_articles"), F.count_if(F.col("n") > 1).alias("duplicate_article_positions"))
+    to_documents = {
+        "provenance_without_document": (provenance, "canonical_id"),
+        "article_without_document": (articles, "parent_document_id"),
+        "relation_without_target": (relations, "target_id"),
+        "relation_without_source": (relations, "source_id"),
+    }
+    orphans = orphan_counts(to_documents, documents, "canonical_id").unionByName(orphan_counts({"document_without_provenance": (documents, "canonical_id")}, provenance, "canonical_id"))
+    counts = [rows.agg(F.count("*").alias(f"count_{name}")) for name, rows in (("provenance", provenance), ("relations", relations))]
+    parts = [
+        _checks(ids, ["count_documents", "ids_empty", "ids_repeated"], ("ids_empty", "ids_repeated")),
+        _checks(years, ["first_year", "last_year", "distinct_years"]),
+        _checks(places, ["count_articles", "duplicate_article_positions"], ("duplicate_article_positions",)),
+        *[_checks(c, c.columns) for c in counts],
+        orphans.select(F.col("reference").alias("name"), F.col("n_violations").cast("long").alias("value"), (F.col("n_violations") == 0).alias("ok")),
     ]
-    out = checks[0]
-    for more in checks[1:]:
+    out = parts[0]
+    for more in parts[1:]:
         out = out.unionByName(more)
     return out
 
 
+def regression(before: dict[str, DataFrame], after: dict[str, DataFrame], texts: dict[str, str]) -> DataFrame:
+    """AUD-04: per table its rows before and after a load and whether none were lost, and how many texts are empty."""
+    out = None
+    for name, rows in after.items():
+        empty = F.count_if(~filled(F.col(texts[name]))) if name in texts else F.max(F.lit(0)).cast("long")
+        now = rows.agg(F.count("*").alias("n_after"), F.coalesce(empty, F.lit(0)).alias("n_empty"))
+        one = now.join(before[name].agg(F.count("*").alias("n_before")))
+        one = one.select(F.lit(name).alias("name"), "n_before", "n_after", "n_empty", ((F.col("n_after") >= F.col("n_before")) & (F.col("n_empty") == 0)).alias("ok"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def court_report(identified: DataFrame, row_id: str, base: str, final: str, expected: int | None = None) -> DataFrame:
+    """AUD-05: rows, distinct sources, distinct ids, rows whose id got a suffix, and whether ids are unique and, if given, exactly ``expected`` got one."""
+    per_id = identified.groupBy(final).agg(F.count("*").alias("n"), F.count_if(F.col(base) != F.col(final)).alias("suffixed"), F.countDistinct(row_id).alias("rows"))
+    out = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_sources"), F.count("*").alias("n_ids"), F.coalesce(F.sum("suffixed"), F.lit(0)).alias("n_suffixed"))
+    right = F.lit(True) if expected is None else F.col("n_suffixed") == expected
+    return out.withColumn("unique", F.col("n_ids") == F.col("n_sources")).withColumn("as_expected", right)
+
+
 def anomalies(decisions: DataFrame, raw_sizes: DataFrame, least_bytes: int, known_classes: tuple[str, ...]) -> DataFrame:
     """AUD-06: labelled anomalies of crawled decisions: kind and key (URL, number or hash).
 
@@ -170,6 +209,12 @@ def extremes(rows: DataFrame, date: str, row_id: str) -> DataFrame:
     )
 
 
+def first_where(rows: DataFrame, holds: Column, date: str, row_id: str) -> DataFrame:
+    """WIN-12: id of the earliest dated row for which something holds; of equals the lowest id; null if there is none."""
+    wanted = holds & F.col(date).isNotNull()
+    return rows.agg(F.min_by(row_id, F.when(wanted, F.struct(date, row_id))).alias("first_id"))
+
+
 def hash_matches(recorded: DataFrame, files: DataFrame) -> DataFrame:
     """AUD-08: whether the recorded SHA-256 is that of the file; ``files``: path, content."""
     actual = files.select("path", F.sha2("content", 256).alias("actual"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lexmill.functions.fixed import CHAMBER_CLASSES
 from lexmill.operators import audit as A
 from lexmill.operators import reconcile as R
+from lexmill.operators.identity import court_base, with_suffix
 from lexmill.operators.report import as_json, as_markdown
-from lexmill.plans.records import PAGES_SQL, pages
+from lexmill.plans.records import COURT_BASE, PAGES_SQL, pages
+from lexmill.plans.records import registry as RECORDS
 from lexmill.plans.registry import Registry
 from lexmill.sources.tables import table
 
@@ -140,12 +142,33 @@ def orphan_provenance(spark: SparkSession, directory: str) -> DataFrame:
 
 @registry.query(" UNION ALL ".join(f"SELECT '{t}.{k}' AS reference, {_orphans_sql(t, k)} AS n_violations" for t, k in (("articles", "parent_document_id"), ("relations", "source_id"), ("relations", "target_id"), ("provenance", "canonical_id"))))
 def fk_check(spark: SparkSession, directory: str) -> DataFrame:
-    documents, out = table(spark, directory, "documents"), None
-    for name, key in (("articles", "parent_document_id"), ("relations", "source_id"), ("relations", "target_id"), ("provenance", "canonical_id")):
-        one = A.child_without_parent(table(spark, directory, name), key, documents, "canonical_id").agg(F.count("*").alias("n_violations"))
-        one = one.select(F.lit(f"{name}.{key}").alias("reference"), "n_violations")
-        out = one if out is None else out.unionByName(one)
-    return out
+    references = (("articles", "parent_document_id"), ("relations", "source_id"), ("relations", "target_id"), ("provenance", "canonical_id"))
+    children = {f"{name}.{key}": (table(spark, directory, name), key) for name, key in references}
+    return A.orphan_counts(children, table(spark, directory, "documents"), "canonical_id")
+
+
+@registry.query("""SELECT *, n_after >= n_before AND n_empty = 0 AS ok FROM (
+  SELECT 'documents' AS name, (SELECT count(*) FROM documents WHERE canonical_id IN (SELECT canonical_id FROM provenance)) AS n_before, count(*) AS n_after,
+    count(*) FILTER (coalesce(text, '') = '') AS n_empty FROM documents
+  UNION ALL SELECT 'articles', (SELECT count(*) FROM articles WHERE parent_document_id IN (SELECT canonical_id FROM documents)), count(*), count(*) FILTER (coalesce(text, '') = '') FROM articles)""")
+def load_regression(spark: SparkSession, directory: str) -> DataFrame:
+    """Before a load: documents with provenance and articles with documents; after it: all of them."""
+    documents, articles = table(spark, directory, "documents"), table(spark, directory, "articles")
+    known = documents.join(table(spark, directory, "provenance").select("canonical_id"), "canonical_id", "left_semi")
+    placed = articles.join(documents.select(F.col("canonical_id").alias("parent_document_id")), "parent_document_id", "left_semi")
+    return A.regression({"documents": known, "articles": placed}, {"documents": documents, "articles": articles}, {"documents": "text", "articles": "text"})
+
+
+_COURT = RECORDS.sql["canonical_ids"]
+
+
+@registry.query(f"""WITH i AS ({_COURT}), b AS (SELECT id, {COURT_BASE} AS base FROM decisions), j AS (SELECT * FROM i JOIN b USING (id))
+SELECT count(*) AS total, count(DISTINCT id) AS n_sources, count(DISTINCT canonical_id) AS n_ids, count(*) FILTER (base <> canonical_id) AS n_suffixed,
+  count(DISTINCT canonical_id) = count(DISTINCT id) AS "unique", true AS as_expected FROM j""")
+def court_report(spark: SparkSession, directory: str) -> DataFrame:
+    rows = table(spark, directory, "decisions").withColumn("base", court_base(F.col("decision_number"), F.col("date")))
+    digest = F.coalesce(F.nullif("content_hash", F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))
+    return A.court_report(with_suffix(rows, "base", F.substring(digest, 1, 8)).select("id", "base", "canonical_id"), "id", "base", "canonical_id")
 
 
 def _repeated_sql(kind: str, columns: tuple[str, ...]) -> str:
@@ -180,6 +203,11 @@ def date_extremes(spark: SparkSession, directory: str) -> DataFrame:
     return A.extremes(table(spark, directory, "documents"), "date", "doc_id")
 
 
+@registry.query("SELECT arg_min(doc_id, {a: date, b: doc_id}) FILTER (date IS NOT NULL AND coalesce(disposition, '') <> '') AS first_id FROM documents")
+def first_disposition(spark: SparkSession, directory: str) -> DataFrame:
+    return A.first_where(table(spark, directory, "documents"), F.coalesce("disposition", F.lit("")) != "", "date", "doc_id")
+
+
 @registry.query("""WITH s AS (SELECT DISTINCT issue_year, start_page FROM revue_index WHERE start_page IS NOT NULL AND issue_year IS NOT NULL),
 n AS (SELECT *, lead(start_page) OVER (PARTITION BY issue_year ORDER BY start_page) AS nxt FROM s)
 SELECT issue_year, CAST(unnest(range(start_page + 1, nxt)) AS INTEGER) AS missing FROM n WHERE nxt > start_page + 1""")

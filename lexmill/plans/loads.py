@@ -108,11 +108,21 @@ def strict_insert(spark: SparkSession, directory: str) -> DataFrame:
     return O.strict_insert(O.empty_table(spark, rows.schema), rows, ["canonical_id"])
 
 
-@registry.query("""SELECT 'articles' AS name, 7 AS n_columns UNION ALL SELECT 'documents', 30 UNION ALL SELECT 'provenance', 9 UNION ALL SELECT 'relations', 6""")
+_SCHEMAS = {"documents": DOCUMENTS, "provenance": PROVENANCE, "articles": ARTICLES, "relations": RELATIONS}
+_NAMES = {n: ", ".join(f"'{part.split()[0]}'" for part in s.split(", ")) for n, s in _SCHEMAS.items()}
+
+
+@registry.query(" UNION ALL ".join(f"""SELECT '{n}' AS name, column_name AS field, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' ELSE lower(column_type) END AS type,
+  true AS empty_twice FROM (DESCRIBE {n}) WHERE column_name IN ({_NAMES[n]})""" for n in _SCHEMAS))
 def table_schemas(spark: SparkSession, directory: str) -> DataFrame:
+    """Fields and types of tables made empty, to be those of the stored ones; making one twice changes nothing."""
     del directory
-    made = {"documents": DOCUMENTS, "provenance": PROVENANCE, "articles": ARTICLES, "relations": RELATIONS}
-    return spark.createDataFrame([(n, len(O.empty_table(spark, s).columns)) for n, s in made.items()], "name string, n_columns int")
+    rows = []
+    for name, schema in _SCHEMAS.items():
+        made = O.empty_table(spark, schema)
+        again = O.insert_or_ignore(made, O.empty_table(spark, schema), [made.columns[0]], made.columns[-1])[0]
+        rows += [(name, f.name, f.dataType.simpleString(), again.schema == made.schema) for f in made.schema]
+    return spark.createDataFrame(rows, "name string, field string, type string, empty_twice boolean")
 
 
 _ENUMS = {"document_type": DOCUMENT_TYPES, "text_completeness": COMPLETENESS, "extraction_quality": QUALITIES}

@@ -28,12 +28,12 @@ for _name, _table in STAGED.items():
 
     registry.query(f"SELECT * EXCLUDE (extra_sections, extra_metadata) FROM {_table} ORDER BY id" if _table == "decisions" else f"SELECT * FROM {_table} ORDER BY id", _name)(_scan)
 
-_BASE = f"'cs_decision_' || {S.slug('decision_number', 'sans_numero')} || '_' || {S.slug('date', 'sans_date', False)} || '_ar'"
+COURT_BASE = f"'cs_decision_' || {S.slug('decision_number', 'sans_numero')} || '_' || {S.slug('date', 'sans_date', False)} || '_ar'"
 _HASH = "coalesce(nullif(content_hash, ''), sha256(coalesce(text, '')))"
 
 
 @registry.query(f"""SELECT id, CASE WHEN count(*) OVER (PARTITION BY base) > 1 THEN base || '_' || substring(h, 1, 8) ELSE base END AS canonical_id
-FROM (SELECT id, {_BASE} AS base, {_HASH} AS h FROM decisions)""")
+FROM (SELECT id, {COURT_BASE} AS base, {_HASH} AS h FROM decisions)""")
 def canonical_ids(spark: SparkSession, directory: str) -> DataFrame:
     rows = table(spark, directory, "decisions").withColumn("base", court_base(F.col("decision_number"), F.col("date")))
     digest = F.coalesce(F.nullif("content_hash", F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))

@@ -47,6 +47,13 @@ def scalar(name: str, source: str, row_id: str, columns: Callable[[], dict[str,
 scalar("clean_text", "documents", "doc_id", lambda: {"clean": T.clean_text(col("full_text"))}, {"clean": S.clean("full_text")})
 scalar("ligature_fold", "decisions", "id", lambda: {"folded": T.normalize_arabic(col("subject"), True)}, {"folded": S.clean(f"regexp_replace({S.ligatures('subject')}, '[{ARABIC_MARKS}]', '', 'g')")})
 scalar("nfc_text", "decisions", "id", lambda: {"composed": T.nfc(col("subject"))}, {"composed": "nfc_normalize(subject)"})
+
+
+@registry.query("SELECT id, nfc_normalize(subject) AS composed FROM decisions")
+def registered_functions(spark: SparkSession, directory: str) -> DataFrame:
+    """The functions registered for SQL, called from SQL."""
+    T.register(spark)
+    return table(spark, directory, "decisions").selectExpr("id", "lexmill_nfc(subject) AS composed")
 _RUN = "[0-9]+(?:[.,:/-][0-9]+)*|[A-Za-z]+"
 _BACK = "reverse(decision_number)"
 scalar(
@@ -226,17 +233,21 @@ def quality_class(spark: SparkSession, directory: str) -> DataFrame:
 scalar("parser_status", "revue_index", "id", lambda: {"status": C.parser_status(col("decision_number"), col("decision_year"), col("start_page"))}, {"status": "CASE WHEN coalesce(decision_number, '') = '' THEN 'error' WHEN coalesce(decision_year, 0) <> 0 AND coalesce(start_page, 0) <> 0 THEN 'ok' ELSE 'partial' END"})
 
 
-@registry.query("SELECT * FROM (VALUES (1, 'NATIVE', NULL), (2, 'SCANNED', 'small'), (3, 'HYBRID', 'magic'), (4, 'SCANNED', 'magic')) t(id, kind, problem)")
+# a file for every decision: its text, then as many fonts as years' last digit says, and an image where there is a disposition
+_FILE_SQL = "CASE WHEN text IS NULL THEN '' WHEN length(text) % 5 = 0 THEN 'x' ELSE '%PDF-1.4 /Type /Page ' END || CASE WHEN length(text) % 2 = 0 THEN '/Type /Font ' ELSE '' END || repeat('/Subtype /Image ', CAST(coalesce(length(text) % 3, 0) AS INTEGER)) || repeat(' ', CAST(coalesce(length(text) % 90, 0) AS INTEGER))"
+
+
+@registry.query(f"""WITH f AS (SELECT id, {_FILE_SQL} AS content FROM decisions), n AS (SELECT id, content, len(regexp_extract_all(content, '/Type\\s*/Page\\b')) AS pages,
+  len(regexp_extract_all(content, '/Type\\s*/Font\\b')) AS fonts, len(regexp_extract_all(content, '/Subtype\\s*/Image\\b')) AS images FROM f)
+SELECT id, CASE WHEN fonts > 0 AND images <= pages THEN 'NATIVE' WHEN images >= pages AND fonts = 0 THEN 'SCANNED' ELSE 'HYBRID' END AS kind,
+  CASE WHEN substring(content, 1, 4) <> '%PDF' THEN 'magic' WHEN length(content) = 0 THEN 'empty' WHEN length(content) < 100 THEN 'small' END AS problem FROM n""")
 def pdf_checks(spark: SparkSession, directory: str) -> DataFrame:
-    """Four byte strings of known kind."""
-    del directory
-    rows = [
-        (1, bytearray(b"%PDF-1.4 /Type /Page /Type /Font" + b" " * 200)),
-        (2, bytearray(b"%PDF /Type /Page /Subtype /Image")),
-        (3, bytearray(b"x /Type /Page /Type /Font /Subtype /Image /Subtype/Image")),
-        (4, bytearray(b"")),
-    ]
-    files = spark.createDataFrame(rows, "id int, content binary")
+    """Files rendered from all decisions, of all kinds and sizes."""
+    size = F.coalesce(F.length("text"), F.lit(0))
+    start = F.when(col("text").isNull(), "").when(size % 5 == 0, "x").otherwise("%PDF-1.4 /Type /Page ")
+    fonts = F.when(col("text").isNotNull() & (size % 2 == 0), "/Type /Font ").otherwise("")
+    content = F.encode(F.concat(start, fonts, F.repeat(F.lit("/Subtype /Image "), size % 3), F.repeat(F.lit(" "), size % 90)), "UTF-8")
+    files = table(spark, directory, "decisions").select("id", content.alias("content"))
     return files.select("id", C.pdf_kind(col("content")).alias("kind"), C.pdf_valid(col("content"), F.octet_length("content"), 100).alias("problem"))
 
 

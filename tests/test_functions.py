@@ -153,3 +153,14 @@ def test_council_page():
 def test_pages_with_nulls(spark):
     df = spark.createDataFrame([(None,), ("<p>",), ("",)], "x string")
     assert [r.r._error for r in df.select(E.court_page(F.col("x")).alias("r")).collect()] == ["no page", "no decision", "no decision"]
+
+
+def test_registered_functions(spark):
+    assert T.register(spark) == ["lexmill_guide_text", "lexmill_nfc"]
+    row = spark.sql("SELECT lexmill_nfc('e\u0301') AS a, lexmill_guide_text('2020 cba') AS b, lexmill_nfc(CAST(NULL AS STRING)) AS c").first()
+    assert (row.a, row.b, row.c) == ("é", "cba 2020", None)
+
+
+def test_guide_text(spark):
+    rows = ["ﻡﻼﺳ 12.5 cd", " \u200b\n\u00a0x\u0640y ", "", None]
+    assert values(spark, rows, lambda: T.normalize_guide_text(F.col("x"))) == ["cd 12.5 سلام", "yx", "", None]
