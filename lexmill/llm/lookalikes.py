@@ -9,7 +9,9 @@ break a tie), and the other letters are replaced by their look-alikes in it. A t
 look-alikes in another is a whole-script confusable. It is respelled if it has
 two letters or more amid a text of the other script, or if a mixed token of the
 same text shows that letters of its script were slipped in; else it stays, as
-any word or letter of another script that stands alone does.
+any word or letter of another script that stands alone does. Alphabets written in
+Arabic letters are told apart likewise: Persian and Urdu forms of a letter become the Arabic one, but
+not in a text in which they prevail and that has letters or words only those languages have.
 
 The remaining forms are then brought to one: full-width and positional forms
 and ligatures to plain letters, base and combining accent to the precomposed
@@ -41,7 +43,16 @@ from lexmill.llm.textbatch import by_volume
 LATIN_FOR = {
     "Cyrillic": dict(zip("аеорсухѕіјԁԛԝһѵӏАВЕЅІЈКМНОРСТУХԌԚԜҮ", "aeopcyxsijdqwhvlABESIJKMHOPCTYXGQWY", strict=True)),
     "Greek": dict(zip("νοριΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳ", "vopiABEZHIKMNOPTYXcj", strict=True)),
+    "Armenian": dict(zip("օսհոռգցյՕՍԼՏ", "ouhnnqgjOULS", strict=True)),
+    "Cherokee": dict(zip("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏒᏙᏚᏞᏟᏢᏦᏴ", "DRTiAJEWMHYGZ4RVSLCPKB", strict=True)),
 }
+#: Latin letters that a reader takes for a plain one amid plain ones (fixed values).
+LATIN_OWN = dict(zip("ɑɡᴄᴏᴠᴡᴢꜱ", "agcovwzs", strict=True))
+#: Signs that a reader takes for an ASCII one (fixed values).
+SIGNS = dict(zip("\u2044\u2215\u2024\u2236\uA789\uFF0F", "//.::/", strict=True))
+#: Letters and short words that only Persian or Urdu has (fixed values).
+PERSIAN_LETTERS = "پچژگٹڈڑںے"
+PERSIAN_WORDS = {"از", "در", "است", "برای", "این", "که", "را", "بود", "شد", "شود", "می", "های", "کے", "کی", "ہے", "میں", "اور", "کا"}
 #: Letters of other languages in Arabic script that a reader takes for an Arabic letter (fixed values).
 ARABIC_FOR = dict(zip("یکڪھہۃ", "يككههة", strict=True))
 SPACE = "\u00A0\u1680\u2000-\u200A\u202F\u205F\u3000"
@@ -51,10 +62,10 @@ INVISIBLE = (
 )
 HYPHEN = "\u2010\u2011\uFE63"
 #: Compatibility forms that look like the plain character.
-FORMS = "\u2160-\u217F\uFB00-\uFB06\uFB50-\uFDFF\uFE70-\uFEFC\uFF01-\uFF5E\u212A\u212B\u037E\u0387"
+FORMS = "\U0001D400-\U0001D7FF\u2160-\u217F\uFB00-\uFB06\uFB50-\uFDFF\uFE70-\uFEFC\uFF01-\uFF5E\u212A\u212B\u037E\u0387"
 COMBINING = "\u0300-\u036F\u0653-\u0655"
 LINE_BREAK = "\u2028\u2029"
-FOREIGN = "\u0370-\u03FF\u0400-\u052F"
+FOREIGN = "\u0370-\u03FF\u0400-\u058F\u13A0-\u13F5"
 
 _SPACE, _INVISIBLE, _HYPHEN = (re.compile(f"[{x}]") for x in (SPACE, INVISIBLE, HYPHEN))
 _FORMS = re.compile(f"[{FORMS}]+")
@@ -63,18 +74,25 @@ _LINE_BREAK = re.compile(f"[{LINE_BREAK}]")
 _TOKEN = re.compile(r"[^\W\d_]+")
 _FOREIGN = re.compile(f"[{FOREIGN}]")
 #: What the JVM looks for: a text without any of these stays as it is.
-SUSPECT = f"[{SPACE}{INVISIBLE}{HYPHEN}{FORMS}{COMBINING}{LINE_BREAK}{FOREIGN}{''.join(ARABIC_FOR)}]"
+SUSPECT = f"[{SPACE}{INVISIBLE}{HYPHEN}{FORMS}{COMBINING}{LINE_BREAK}{FOREIGN}{''.join(ARABIC_FOR)}{''.join(LATIN_OWN)}{''.join(SIGNS)}]"
+
+
+SCRIPTS = ("Latin", *LATIN_FOR, "Arabic", "Other")
 
 
 def script(letter: str) -> str:
     """Script of a letter among those that matter here."""
     c = ord(letter)
-    if c < 0x250 or 0x1E00 <= c < 0x1F00:
+    if c < 0x2B0 or 0x1D00 <= c < 0x1D80 or 0x1E00 <= c < 0x1F00 or 0xA720 <= c < 0xA800:
         return "Latin"
     if 0x370 <= c < 0x400 or 0x1F00 <= c < 0x2000:
         return "Greek"
     if 0x400 <= c < 0x530:
         return "Cyrillic"
+    if 0x530 <= c < 0x590:
+        return "Armenian"
+    if 0x13A0 <= c < 0x1400:
+        return "Cherokee"
     if 0x600 <= c < 0x780:
         return "Arabic"
     return "Other"
@@ -99,7 +117,7 @@ def spelled(letter: str, into: str) -> str | None:
 
 def resolved_scripts(token: str) -> set[str]:
     """Scripts in which the whole token can be spelled."""
-    left = {"Latin", "Greek", "Cyrillic", "Arabic", "Other"}
+    left = {*SCRIPTS}
     for letter in token:
         left = {s for s in left if spelled(letter, s) is not None}
     return left
@@ -139,12 +157,32 @@ def consistent(text: str) -> tuple[str, int, int]:
 
 
 _ARABIC = str.maketrans(ARABIC_FOR)
+_SIGNS = str.maketrans(SIGNS)
+_OWN, _OWN_LETTERS = str.maketrans(LATIN_OWN), re.compile(f"[{''.join(LATIN_OWN)}]")
+_PERSIAN_FORMS, _ARABIC_FORMS, _ONLY_PERSIAN = re.compile("[یکہھ]"), re.compile("[يكةى]"), re.compile(f"[{PERSIAN_LETTERS}]")
+
+
+def is_persian(text: str) -> bool:
+    """Whether the text is in a language whose forms of Arabic letters are its own."""
+    forms = len(_PERSIAN_FORMS.findall(text))
+    if not forms or forms <= len(_ARABIC_FORMS.findall(text)):
+        return False
+    return _ONLY_PERSIAN.search(text) is not None or any(m[0] in PERSIAN_WORDS for m in _TOKEN.finditer(text))
+
+
+def _plain_latin(match: re.Match) -> str:
+    token = match[0]
+    return token.translate(_OWN) if any(c.isascii() for c in token) else token
 
 
 def one_form(text: str) -> tuple[str, int, int]:
     """The text in its consistent form; numbers of mixed and whole-script confusable tokens."""
     text = _INVISIBLE.sub("", text)
-    text = _FORMS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text).translate(_ARABIC)
+    text = _FORMS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text).translate(_SIGNS)
+    if not is_persian(text):
+        text = text.translate(_ARABIC)
+    if _OWN_LETTERS.search(text):
+        text = _TOKEN.sub(_plain_latin, text)
     text = _COMBINED.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
     text = _LINE_BREAK.sub("\n", _HYPHEN.sub("-", _SPACE.sub(" ", text)))
     mixed = whole = 0

@@ -1,6 +1,6 @@
 import pytest
 
-from lexmill.llm.lookalikes import consistent_forms, one_form, resolved_scripts, script, suspect_forms
+from lexmill.llm.lookalikes import LATIN_FOR, LATIN_OWN, SIGNS, consistent_forms, one_form, resolved_scripts, script, suspect_forms
 
 
 @pytest.mark.parametrize(
@@ -21,6 +21,15 @@ from lexmill.llm.lookalikes import consistent_forms, one_form, resolved_scripts,
         ("الصید", "الصيد"),
         ("a​b­c‑d", "abc-d"),
         ("", None),
+        ("𝐥𝐞 𝟏𝟐", "le 12"),
+        ("hɑut ɡré ᴄode", "haut gré code"),
+        ("/ɑ/ et ɡ", None),  # letters of a transcription that stand alone
+        ("le cօnseil", "le conseil"),
+        ("ՀԱՅԱՍՏԱՆ", None),
+        ("12∕2003 ․", "12/2003 ."),
+        ("دادگاه عالی برای رسیدگی به پرونده ها", None),  # Persian stays
+        ("این قانون در کشور است", None),
+        ("القضایا المدنية کما هي", "القضايا المدنية كما هي"),
     ],
 )
 def test_one_form(text, form):
@@ -28,6 +37,18 @@ def test_one_form(text, form):
     assert one_form(one_form(text)[0])[0] == one_form(text)[0]
 
 
+@pytest.mark.parametrize("name", LATIN_FOR)
+def test_every_letter_amid_latin_ones_is_respelled(name):
+    for letter, plain in LATIN_FOR[name].items():
+        assert script(letter) == name and one_form(f"com{letter}te des actes")[0] == f"com{plain}te des actes"
+
+
+def test_every_sign_and_own_letter():
+    for table in (LATIN_OWN, SIGNS):
+        for letter, plain in table.items():
+            assert one_form(f"ab{letter}cd")[0] == f"ab{plain}cd"
+
+
 def test_scripts():
     assert script("а") == "Cyrillic" and resolved_scripts("аb") == {"Latin"}
     assert resolved_scripts("ба") == {"Cyrillic"} and resolved_scripts("bб") == set()
