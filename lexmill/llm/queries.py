@@ -76,13 +76,14 @@ _P1 = (("decisions", "chamber"), ("revue_decisions", "chamber_raw"))
 @registry.query()
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
     reference = table(spark, directory, "chamber_ref")
-    labels = [x for r in reference.select("label_ar", "label_fr").collect() for x in r if x is not None]
+    labels = reference.select(F.explode(F.array("label_ar", "label_fr")).alias("label")).filter("label IS NOT NULL")
     out = None
     for name, field in _P1:
         typed = (
             table(spark, directory, name)
             .select(F.lit(name).alias("table_name"), F.col("id").alias("row_id"), F.col(field).alias("value"))
-            .filter(F.col("value").isNotNull() & ~F.col("value").isin(labels))
+            .filter(F.col("value").isNotNull())
+            .join(labels, F.col("value") == F.col("label"), "left_anti")
         )
         one = map_chambers(typed, "value", reference).select(
             "table_name", "row_id", F.coalesce(F.get("chambers", F.lit(0))["entry_id"], F.lit(0)).alias("chamber_id")

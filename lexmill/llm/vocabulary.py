@@ -1,7 +1,8 @@
 """Free-entered values mapped to a reference list (problem 1).
 
 Every spelling of the reference entries, aliases included, is a path of one
-trie. A value is searched with a Levenshtein automaton that walks the trie: the
+trie, in number proportional to an entry's words: what may or may not stand before each word, as the Arabic article, is taken off
+values and entries alike. A value is searched with a Levenshtein automaton that walks the trie: the
 automaton's state is the set of (offset, errors) positions still possible, its
 transitions depend only on where the next letter occurs in the coming letters
 of the value, so they are computed once and kept. All entries within a
@@ -56,6 +57,11 @@ def fold(value: str) -> str:
     return "".join(c for c in light_fold(value) if c.isalpha())
 
 
+def without_articles(text: str) -> str:
+    """Folded text whose words have lost the Arabic article, also behind "and"."""
+    return " ".join("و" + w[3:] if w.startswith("وال") else w[2:] if w.startswith("ال") else w for w in text.split(" "))
+
+
 def allowed_errors(length: int) -> int:
     """Errors allowed in a folded value of this many letters."""
     return 0 if length <= 3 else 1 if length <= 5 else 2 if length <= 20 else 3
@@ -176,6 +182,7 @@ class Matcher:
             letters = "".join(c for c in part if c.isalpha())
             out.append(letters)
             if ARABIC.search(letters):
+                out.append("".join(c for c in without_articles(part) if c.isalpha()))
                 out.append(letters[::-1])
         return [x for x in dict.fromkeys(out) if x]
 
@@ -233,18 +240,21 @@ def chamber_spellings(chamber_id: int, label_ar: str, label_fr: str) -> list[tup
     head, _, rest = label_fr.partition(" ")
     if fold(head) in HEADS_FR:
         out |= {rest, *(f"{short} {rest}" for short in SHORT_FR)}
-    words = label_ar.split()
-    bare = [("و" + w[3:] if w.startswith("وال") else w[2:] if w.startswith("ال") else w) for w in words]
-    full = [("وال" + w[1:] if a.startswith("وال") else "ال" + w) for a, w in zip(words, bare)]
-    forms = [[]]
-    for a, b, c in zip(words, bare, full):
-        options = dict.fromkeys((a, b, c) if a is words[0] else (a, b))
-        forms = [[*f, o] for f in forms for o in options]
+    # a value is searched with its articles and without them, so that any choice of articles is found where the rest is right;
+    # amid errors the label's own articles count, the head's and one more left out or not
+    words = light_fold(label_ar).split()
+    bare = without_articles(light_fold(label_ar)).split()
+    full = [w if w != b else "ال" + w for w, b in zip(words, bare)]
+    forms = [words, bare]
+    for head in dict.fromkeys((*words[:1], *bare[:1], *full[:1])):
+        rest = list(zip(words, bare))[1:]
+        forms.append([head, *words[1:]])
+        forms += [[head, *(b if i == k else w for k, (w, b) in enumerate(rest))] for i, (w, b) in enumerate(rest) if w != b]
     for form in forms:
         out.add(" ".join(form))
-        if fold(bare[0]) in map(fold, HEADS_AR) and len(form) > 1:
+        if len(form) > 1 and bare[0] in map(fold, HEADS_AR):
             out |= {" ".join(form[1:]), *(" ".join([short, *form[1:]]) for short in SHORT_AR)}
-    return [(chamber_id, x) for x in sorted(out)]
+    return [(chamber_id, x) for x in sorted(out) if x]
 
 
 def chamber_rows(reference: DataFrame) -> list:

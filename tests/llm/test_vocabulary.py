@@ -53,6 +53,15 @@ def test_typed_chambers(value, entry):
     assert (found[0][0] if found else None) == entry
 
 
+def test_spellings_grow_with_the_words_of_a_label():
+    long = " ".join(f"الكلمة{i}" for i in range(14))
+    assert len(chamber_spellings(1, f"الغرفة {long}", "Chambre x")) < 14 * 12 and chamber_spellings(1, "", "") == []
+    # any choice of articles is found
+    trie = Matcher(chamber_spellings(1, f"الغرفة {long}", "x"))
+    typed = "غرفة " + " ".join(f"{'ال' if i % 3 else ''}كلمة{i}" for i in range(14))
+    assert trie.candidates(typed) == [(1, 0)]
+
+
 def test_folding():
     assert fold("É‏ـ٣ x") == "ex" and fold(" ؟") == ""
 
