@@ -104,6 +104,10 @@ def _tokenized(sample: DataFrame, tokenizer: str) -> DataFrame:
     return sample.mapInArrow(measure, f"source string, code string, kind string, holdout boolean, tokens double, {names}")
 
 
+#: Languages, by number of texts, with a regression of their own; texts of others are estimated with the mean of these.
+MOST_LANGUAGES = 200
+
+
 def fit(sample: DataFrame) -> dict[str | None, np.ndarray]:
     """Coefficients per language from the tokenized training texts (ridge, tiny)."""
     terms = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[i:]]
@@ -112,7 +116,7 @@ def fit(sample: DataFrame) -> dict[str | None, np.ndarray]:
         *[F.sum(F.col(a) * F.col("tokens")).alias(f"xy_{a}") for a in FEATURES],
     )
     models = {}
-    for row in sums.collect():  # one row a language
+    for row in sums.collect():  # at most MOST_LANGUAGES
         gram = np.zeros((len(FEATURES), len(FEATURES)))
         for a, b in terms:
             i, j = FEATURES.index(a), FEATURES.index(b)
@@ -173,7 +177,7 @@ def token_budget(
         F.col(text).alias("text"),
     )
     filled = base.filter(F.length("text") > 0)
-    counts = filled.groupBy("code").agg(F.count("*").alias("n")).collect()  # one row a language
+    counts = filled.groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code").limit(MOST_LANGUAGES).collect()
     lot = F.pmod(F.xxhash64(F.lit("budget"), F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for r in counts:

@@ -179,3 +179,16 @@ def piece_counts(rows: DataFrame, row_id: str, text: str, max_size: int, overlap
     return _oversized(rows, row_id, text, max_size, overlap).mapInArrow(
         _pieces(max_size, overlap, False), "row_id long, n_pieces long, longest_run long"
     )
+
+
+def rebuilt(pieces: DataFrame, most: int, overlap: int) -> DataFrame:
+    """``row_id, text, within_size, overlaps``: texts put together from their pieces, and whether sizes and overlaps are kept."""
+    piece = F.struct("piece_no", "start", "end", "piece")
+    whole = pieces.groupBy("row_id").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    new = F.transform("pieces", lambda p: F.substring(p["piece"], F.when(p["piece_no"] == 1, 1).otherwise(overlap + 1), F.length(p["piece"])))
+    neighbours = F.arrays_zip(F.slice("pieces", 1, F.size("pieces") - 1).alias("a"), F.slice("pieces", 2, F.size("pieces")).alias("b"))
+    shared = F.forall(
+        neighbours, lambda n: (n["b"]["start"] == n["a"]["end"] - overlap) & (F.right(n["a"]["piece"], F.lit(overlap)) == F.left(n["b"]["piece"], F.lit(overlap)))
+    )
+    within = F.forall("pieces", lambda p: F.length(p["piece"]) <= most)
+    return whole.select("row_id", F.array_join(new, "").alias("text"), within.alias("within_size"), shared.alias("overlaps"))

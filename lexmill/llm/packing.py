@@ -103,17 +103,19 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
+#: Characters that are tokenized for each token of the capacity, and tokens beyond it that the cut of a stretch may touch.
+WINDOW_CHARS, MARGIN = 6, 16
+
+
 def token_pieces(text: str, capacity: int, path: str) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of the pieces of a text, in characters; one piece if it fits."""
     own = encoding(path)
-    tokens = own.encode_ordinary(text)
-    if len(tokens) <= capacity:
-        return [(0, len(text), len(tokens))]
-    out, start = [], 0
+    out: list[tuple[int, int, int]] = []
+    start = 0
     while start < len(text):
-        tokens = own.encode_ordinary(text[start:]) if out else tokens
-        if len(tokens) <= capacity:
-            out.append((start, len(text), len(tokens)))
+        tokens, reach = _window(own, text, start, capacity)
+        if reach == len(text) and len(tokens) <= capacity:
+            out.append((start, reach, len(tokens)))
             break
         take = capacity
         while True:
@@ -132,6 +134,20 @@ def token_pieces(text: str, capacity: int, path: str) -> list[tuple[int, int, in
     return out
 
 
+def _window(own, text: str, start: int, capacity: int) -> tuple[list[int], int]:
+    """Tokens from ``start`` on, more than the capacity unless the text ends before, and where they end.
+
+    Only a stretch in proportion to the capacity is tokenized, so the time for a text is in proportion to its length.
+    """
+    length = WINDOW_CHARS * capacity
+    while True:
+        reach = min(len(text), start + length)
+        tokens = own.encode_ordinary(text[start:reach])
+        if reach == len(text) or len(tokens) > capacity + MARGIN:
+            return tokens, reach
+        length *= 2
+
+
 def sized_items(rows: DataFrame, doc_id: str, text: str, capacity: int, tokenizer: str = TOKENIZER) -> DataFrame:
     """``doc_id, piece_no, start, end, n_tokens`` of every item that has tokens."""
     base = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") > 0)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.budget import budget_totals, language_code, token_budget
-from lexmill.llm.chunking import piece_counts, split_pieces
+from lexmill.llm.chunking import piece_counts, rebuilt, split_pieces
 from lexmill.llm.linkage import decision_attributes, index_attributes, link
 from lexmill.llm.lookalikes import consistent_forms, suspect_forms
 from lexmill.llm.mixing import mix_shares, mix_sources, token_table
@@ -70,6 +70,22 @@ def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return out
 
 
+def _p5_rebuilt_sql(name: str, field: str, row_id: str) -> str:
+    return f"SELECT '{name}' AS table_name, {row_id} AS row_id, sha256({field}) AS text_hash, true AS within_size, true AS overlaps FROM {name} WHERE {field} IS NOT NULL"
+
+
+@registry.query("\nUNION ALL\n".join(_p5_rebuilt_sql(*x) for x in _P5))
+def p5_rebuilt(spark: SparkSession, directory: str) -> DataFrame:
+    """What the pieces say of their texts: put together again without overlaps, none too long, neighbours sharing the overlap."""
+    out = None
+    for name, field, row_id in _P5:
+        most, overlap = size_limit(spark, directory, name, field, "char")
+        pieces = split_pieces(table(spark, directory, name), row_id, field, most, overlap)
+        one = rebuilt(pieces, most, overlap).select(F.lit(name).alias("table_name"), "row_id", F.sha2("text", 256).alias("text_hash"), "within_size", "overlaps")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 _P1 = (("decisions", "chamber"), ("revue_decisions", "chamber_raw"))
 
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from lexmill.llm.chunking import LINE, PARAGRAPH, SENTENCE, WORD, boundaries, greedy_cuts, piece_counts, split_pieces
+from lexmill.llm.chunking import LINE, PARAGRAPH, SENTENCE, WORD, boundaries, greedy_cuts, piece_counts, rebuilt, split_pieces
 from lexmill.llm.textbatch import code_points
 
 
@@ -76,3 +76,13 @@ def test_boundary_kinds():
     place, kind = boundaries(points, starts)
     assert place.tolist() == [2, 5, 7, 11] and kind.tolist() == [WORD, SENTENCE, LINE, PARAGRAPH]
     assert isinstance(place, np.ndarray)
+
+
+def test_pieces_rebuild_their_texts(spark):
+    rows = [(1, "mot " * 500), (2, "x" * 700), (3, ""), (4, None), (5, "a. b\n\n" * 90), (6, "court")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    good = {r.row_id: (r.text, r.within_size, r.overlaps) for r in rebuilt(split_pieces(df, "id", "t", 100, 15), 100, 15).collect()}
+    assert good == {i: (t, True, True) for i, t in rows if t is not None}
+    bad = spark.createDataFrame([(1, 1, 0, 5, "abcde"), (1, 2, 4, 9, "xfghi")], "row_id long, piece_no int, start long, end long, piece string")
+    row = rebuilt(bad, 4, 2).first()
+    assert not row.within_size and not row.overlaps

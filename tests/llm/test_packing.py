@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from lexmill.llm import packing
 from lexmill.llm.packing import container_texts, container_use, containers, difference, pack, sized_items, token_pieces
 from lexmill.llm.tokenizers import TOKENIZER, encoding
 
@@ -64,3 +65,27 @@ def test_containers(spark):
     pieces = sorted((p.start, t) for r in content for d, t in zip(r.doc_ids, r.texts) if d == 902 for p in items.filter("doc_id = 902").collect() if ("long texte " * 300)[p.start : p.end] == t)
     assert pieces and all(len(encoding(TOKENIZER).encode_ordinary(t)) <= 100 for _, t in pieces)
     assert containers(items.limit(0), 100, 0).count() == 0
+
+
+def test_a_long_text_is_tokenized_in_proportion_to_its_length(monkeypatch):
+    own, seen = encoding(TOKENIZER), []
+
+    class Counting:
+        def encode_ordinary(self, text):
+            seen.append(len(text))
+            return own.encode_ordinary(text)
+
+        def decode_tokens_bytes(self, tokens):
+            return own.decode_tokens_bytes(tokens)
+
+    monkeypatch.setattr(packing, "encoding", lambda path: Counting())
+    for text in ("le registre des déclarations " * 20_000, "x" * 60_000, " " * 50_000 + "fin", "المادة الأولى " * 9_000):
+        seen.clear()
+        pieces = token_pieces(text, 64, TOKENIZER)
+        assert pieces[0][0] == 0 and pieces[-1][1] == len(text) and all(a[1] == b[0] for a, b in zip(pieces, pieces[1:]))
+        assert all(0 < n <= 64 and n == len(own.encode_ordinary(text[a:b])) for a, b, n in pieces)
+        assert sum(seen) < 60 * len(text)
+
+
+def test_short_texts_are_one_piece():
+    assert token_pieces("abc", 64, TOKENIZER) == [(0, 3, len(encoding(TOKENIZER).encode_ordinary("abc")))] and token_pieces("", 64, TOKENIZER) == []
