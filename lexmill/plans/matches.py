@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators import matching as M
@@ -68,9 +68,18 @@ _MARKERS = f"""WITH idx AS (SELECT issue_year, issue_number, coalesce({_ZERO}, '
   WHERE decision_number IS NOT NULL AND pdf_start_page IS NOT NULL AND NOT ends_with(coalesce(source, ''), 'index_guide')) d JOIN idx USING (issue_year, issue_number, num)"""
 
 
-@registry.query(_mode_sql(_MARKERS, _THREE, "text_markers"))
+# hardly a stored decision is in the guide of its issue; each entry is also read from its page, the issue's number later
+_READ = _MARKERS.replace("FROM revue_decisions\n", """FROM (SELECT issue_year, issue_number, decision_number, pdf_start_page, source, id FROM revue_decisions
+  UNION ALL SELECT issue_year, issue_number, decision_number, start_page + issue_number, NULL, id + 1000000000 FROM revue_index)\n""")
+
+
+@registry.query(_mode_sql(_READ, _THREE, "text_markers"))
 def page_offset_mode(spark: SparkSession, directory: str) -> DataFrame:
-    return M.offset_mode(M.offset_samples(table(spark, directory, "revue_decisions"), table(spark, directory, "revue_index")), "text_markers")
+    columns = ("issue_year", "issue_number", "decision_number", "pdf_start_page", "source", "id")
+    entries = table(spark, directory, "revue_index")
+    read = entries.withColumns({"pdf_start_page": F.col("start_page") + F.col("issue_number"), "source": F.lit(None).cast("string"), "id": F.col("id") + 1_000_000_000})
+    decisions = table(spark, directory, "revue_decisions").select(*columns).unionByName(read.select(*columns))
+    return M.offset_mode(M.offset_samples(decisions, entries), "text_markers")
 
 
 _FOOTERS_OF = lambda source: rf"""early AS (SELECT *, row_number() OVER (PARTITION BY issue_year, issue_number ORDER BY page_no) AS k FROM {source}),
@@ -174,16 +183,26 @@ def review_segments(spark: SparkSession, directory: str) -> DataFrame:
     return segment(shown, ["issue_year", "issue_number"])
 
 
-@registry.query("""SELECT 1 AS source_page, row_no, decision_number, decision_year, issue_number, decision_year AS issue_year, start_page, chamber, subject, principle, legal_reference, parser_status
-FROM (VALUES (1, '1234', 1999, 2, 17, NULL, NULL, NULL, NULL, 'ok'), (2, '77', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'partial')) t(row_no, decision_number, decision_year, issue_number, start_page, chamber, subject, principle, legal_reference, parser_status)""")
+@registry.query("""SELECT CAST(id AS INTEGER) AS source_page, 1 AS row_no, CAST(id AS VARCHAR) AS decision_number, decision_year, issue_number, decision_year AS issue_year, start_page,
+  CAST(NULL AS VARCHAR) AS chamber, CAST(NULL AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS principle, CAST(NULL AS VARCHAR) AS legal_reference,
+  CASE WHEN coalesce(decision_year, 0) <> 0 AND coalesce(start_page, 0) <> 0 THEN 'ok' ELSE 'partial' END AS parser_status FROM revue_index""")
 def nearest_column(spark: SparkSession, directory: str) -> DataFrame:
-    """Two rows of a guide's page as positioned words; letters of a word run in visual order."""
-    del directory
+    """A guide's page rendered for every index entry as positioned words; letters of a word run in visual order.
+
+    Two words stand within their column, one outside but near, one is too far from any.
+    """
+    page = F.col("id").cast("int").alias("page")
     heads = [("رقم القارر", 0.0, 40.0), ("الصفحة", 50.0, 80.0), ("السنة", 90.0, 120.0), ("العدد", 130.0, 160.0)]
-    cells = [(1, 0, k, a, b, 0.0, 10.0, t) for k, (t, a, b) in enumerate(heads)]
-    cells += [(1, r, 0, 0.0, 160.0, 10.0 * r + 2, 10.0 * r + 10, "") for r in (1, 2)]
-    words = [(1, "1234", 5.0, 30.0, 13.0, 18.0), (1, "17", 84.0, 85.0, 13.0, 18.0), (1, "1999", 95.0, 110.0, 13.0, 18.0), (1, "2", 140.0, 145.0, 13.0, 18.0), (1, "77", 5.0, 20.0, 23.0, 28.0), (1, "far", 500.0, 520.0, 23.0, 28.0)]
-    return guide_entries(
-        spark.createDataFrame(words, "page int, text string, x0 double, x1 double, top double, bottom double"),
-        spark.createDataFrame(cells, "page int, row_no int, col_no int, x0 double, x1 double, top double, bottom double, text string"),
-    )
+    rows = table(spark, directory, "revue_index")
+
+    def at(text: Column, x0: float, x1: float, top: float) -> Column:
+        return F.struct(text.cast("string").alias("text"), *[F.lit(v).alias(n) for n, v in (("x0", x0), ("x1", x1), ("top", top), ("bottom", top + 5.0))])
+
+    placed = F.array(
+        at(F.col("id"), 5.0, 30.0, 13.0), at(F.col("start_page"), 84.0, 85.0, 13.0), at(F.col("decision_year"), 95.0, 110.0, 13.0),
+        at(F.col("issue_number"), 140.0, 145.0, 13.0), at(F.lit("far"), 500.0, 520.0, 13.0),
+    )
+    words = rows.select(page, F.explode(placed).alias("w")).select("page", "w.*").filter("text IS NOT NULL")
+    cell = lambda r, k, a, b, top, t: F.struct(*[F.lit(v).alias(n) for n, v in (("row_no", r), ("col_no", k), ("x0", a), ("x1", b), ("top", top), ("bottom", top + 10.0), ("text", t))])
+    grid = F.array(*[cell(0, k, a, b, 0.0, t) for k, (t, a, b) in enumerate(heads)], cell(1, 0, 0.0, 160.0, 10.0, ""))
+    return guide_entries(words, rows.select(page, F.explode(grid).alias("c")).select("page", "c.*"))
