@@ -10,7 +10,7 @@ shares are added, so none counts twice, and the text itself is left out. A text
 whose log-odds of ending against going on lie below the threshold of its
 language and column was cut. Counts are over all texts. Marks that a transfer
 leaves at a cut ("...", "[...]", a lone hyphen, half a character) are taken off
-first, so that what stands before them is judged, and count against the text; digits count as one
+first, so that what stands before them is judged; digits count as one
 character, a line of dots as one stop.
 
 Threshold. The log-odds of a language and column have two heaps, ends and cuts.
@@ -61,8 +61,6 @@ HELD = 1_000_000
 PRIOR = 4.0
 #: Texts that must end alike before their ends count; two cut texts may share a context by chance.
 OTHERS = 2
-#: What a transfer's mark at the end, or white space there, takes off the log-odds.
-MARKED = 5.0
 #: Where the threshold usually lies, and what a unit's distance from there weighs beside a share of the texts.
 USUAL, PULL = -5.0, 2e-4
 STEP = 0.1
@@ -71,8 +69,6 @@ STOPS = np.array([ord(c) for c in ".!?؟"], np.uint32)
 DOTS = re.compile(r"([._])\1{3,}$")
 #: What a transfer leaves behind a cut (fixed values).
 MARKS = re.compile(r"(?:\s*[\[(](?:\.\.\.|…)[\])]|…|(?<!\.)\.\.\.|�+|(?<=\w)-|(?<=\w )-)$")
-#: The same for the JVM, with blanks and tabs that no complete text ends with.
-MARKED_END = "(?:[\\[(](?:\\.\\.\\.|…)[\\])]|…|(?<!\\.)\\.\\.\\.|\ufffd|(?<=\\w)-|(?<=\\w )-|[ \t\u00a0])$"
 _SUSPECT = re.compile(SUSPECT)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -294,7 +290,7 @@ def ending_odds(rows: DataFrame, doc_id: str, text: str, code: Column) -> DataFr
     base = rows.select(F.col(doc_id).alias("doc_id"), code.alias("code"), F.col(text).alias("text")).filter(F.length("text") > 0)
     tails = base.select("doc_id", "code", F.expr(f"right(text, {TAIL})").alias("tail"), F.length("text").alias("length"))
     # copies of a text have one ending
-    keyed = tails.withColumn("ending_id", F.xxhash64("code", "tail", "length")).withColumn("marked", F.col("tail").rlike(MARKED_END))
+    keyed = tails.withColumn("ending_id", F.xxhash64("code", "tail", "length"))
     endings = keyed.groupBy("ending_id").agg(F.first("code").alias("code"), F.first("tail").alias("tail"))
     ends = checkpointed(endings.mapInArrow(_ends, "ending_id long, code string, n int, h long, four long"))
     per_context = ends.groupBy("n", "h").agg(F.count("*").alias("end"), F.first("four").alias("four"))
@@ -320,11 +316,7 @@ def ending_odds(rows: DataFrame, doc_id: str, text: str, code: Column) -> DataFr
         .agg(F.array_sort(F.collect_list(seen)).alias("seen"))
         .select("ending_id", _log_odds(F.col("seen")).alias("log_odds"))
     )
-    return (
-        keyed.select("doc_id", "code", "ending_id", "marked")
-        .join(judged, "ending_id")
-        .select("doc_id", "code", (F.col("log_odds") - F.when(F.col("marked"), MARKED).otherwise(0.0)).alias("log_odds"))
-    )
+    return keyed.select("doc_id", "code", "ending_id").join(judged, "ending_id").select("doc_id", "code", "log_odds")
 
 
 def threshold(bins: dict[int, int]) -> float:
