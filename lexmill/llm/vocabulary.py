@@ -76,17 +76,17 @@ class Automaton:
         self.start = ((0, 0, False),)
         self._kept: dict = {}
 
-    def step(self, state: tuple, seen: tuple) -> tuple[tuple, int] | None:
+    def step(self, state: tuple, seen: int, n: int) -> tuple[tuple, int] | None:
         """Next state and how far its offsets moved on; None when no position is left.
 
-        ``seen``: for each coming letter of the value whether it is the letter read.
+        ``seen``: bits of the ``n`` coming letters of the value that are the letter read.
         """
-        key = (state, seen)
+        key = (state, seen, n)
         if key not in self._kept:
-            self._kept[key] = self._step(state, seen)
+            self._kept[key] = self._step(state, [bool(seen >> i & 1) for i in range(n)])
         return self._kept[key]
 
-    def _step(self, state: tuple, seen: tuple) -> tuple[tuple, int] | None:
+    def _step(self, state: tuple, seen: list[bool]) -> tuple[tuple, int] | None:
         k, n = self.most, len(seen)
         out: dict[tuple[int, bool], int] = {}
 
@@ -143,10 +143,14 @@ class ReferenceTrie:
         automaton = self._automata.setdefault(most, Automaton(most))
         found: dict[int, int] = {}
         stack = [(self.root, automaton.start, 0)]
-        length, window = len(folded), automaton.window
+        length, window, step = len(folded), automaton.window, automaton.step
+        places: dict[str, int] = {}  # bits of the places where a letter stands
+        for i, c in enumerate(folded):
+            places[c] = places.get(c, 0) | 1 << i
         while stack:
             node, state, base = stack.pop()
-            coming = folded[base : base + window]
+            n = max(0, min(window, length - base))
+            coming = (1 << n) - 1
             for letter, child in node.items():
                 if letter == "":
                     distance = automaton.accepts(state, length - base)
@@ -154,7 +158,7 @@ class ReferenceTrie:
                         for entry in child:
                             found[entry] = min(distance, found.get(entry, distance))
                     continue
-                moved = automaton.step(state, tuple(c == letter for c in coming))
+                moved = step(state, places.get(letter, 0) >> base & coming, n)
                 if moved is not None:
                     stack.append((child, moved[0], base + moved[1]))
         return found

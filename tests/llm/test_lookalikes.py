@@ -1,6 +1,8 @@
+import re
+
 import pytest
 
-from lexmill.llm.lookalikes import LATIN_FOR, LATIN_OWN, SIGNS, consistent_forms, one_form, resolved_scripts, script, suspect_forms
+from lexmill.llm.lookalikes import LATIN_FOR, LATIN_OWN, ORDINARY, SIGNS, SUSPECT, consistent_forms, one_form, resolved_scripts, script, suspect_forms
 
 
 @pytest.mark.parametrize(
@@ -49,6 +51,11 @@ def test_every_sign_and_own_letter():
             assert one_form(f"ab{letter}cd")[0] == f"ab{plain}cd"
 
 
+def test_no_ordinary_character_is_suspect():
+    ordinary, suspects = re.compile(f"[{ORDINARY}]"), re.compile(SUSPECT)
+    assert not [hex(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and ordinary.match(chr(c)) and suspects.match(chr(c))]
+
+
 def test_scripts():
     assert script("а") == "Cyrillic" and resolved_scripts("аb") == {"Latin"}
     assert resolved_scripts("ба") == {"Cyrillic"} and resolved_scripts("bб") == set()
