@@ -20,6 +20,8 @@ from lexmill.llm.perceptron import AveragedPerceptron
 #: Times that a confusion must be seen in training to be tried where no known word results.
 LEAST_CONFUSED = 2
 
+#: Letters that scans show as one character (fixed values).
+LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl"}
 Near = list[tuple[str, int]]
 
 
@@ -139,7 +141,7 @@ def train_characters(
 
     ``near``: known words one place away of each word, ``lexicon``: the same of lexicon words.
     """
-    editor = CharacterEditor(grams, learn_confusions(aligned))
+    editor = CharacterEditor(grams, {**learn_confusions(aligned), **{k: [v] for k, v in LIGATURES.items()}})
     examples: list[tuple[list[list[str]], int]] = []
 
     def add(word: str, right: str, others: Near, absent: str | None = None) -> None:
@@ -155,6 +157,11 @@ def train_characters(
             add(word, right, [x for x in others if x[0] != right], right)
     for word, others in lexicon.items():
         add(word, word, others, word)
+        for ligature, letters in LIGATURES.items():
+            if letters in word:  # the same word, scanned with a ligature
+                joined = word.replace(letters, ligature, 1)
+                add(joined, word, [(word, 3)])
+                add(joined, word, [], word)
     for word in plain:
         add(word, near[word][0][0], near[word])
     editor.model.train(examples)
