@@ -82,12 +82,32 @@ def recorded_hashes(spark: SparkSession, directory: str) -> DataFrame:
     return hash_matches(recorded, files).select("id", "same")
 
 
-@registry.query("""SELECT canonical_id, '{"canonical_id":"' || canonical_id || '","year":' || coalesce(CAST(year AS VARCHAR), 'null') || '}' AS json FROM documents""")
+_ANSWER = ("canonical_id", "document_type", "jurisdiction", "chamber", "title", "document_number", "date", "year", "language", "subject", "principle", "full_text", "text_completeness")
+
+
+@registry.query(f"SELECT canonical_id, CAST(to_json({{{', '.join(f'{c}: {c}' for c in _ANSWER)}}}) AS VARCHAR) AS json FROM documents")
 def document_json(spark: SparkSession, directory: str) -> DataFrame:
-    made = F.to_json(F.struct("canonical_id", "year"), {"ignoreNullFields": "false"})
+    made = F.to_json(F.struct(*_ANSWER), {"ignoreNullFields": "false"})
     return table(spark, directory, "documents").select("canonical_id", made.alias("json"))
 
 
+@registry.query("SELECT id, decision_number AS nid, chamber AS kind FROM decisions")
+def seed_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """Seeds written as a JSON list and read back."""
+    rows = table(spark, directory, "decisions").select("id", F.to_json(F.array(F.struct(F.col("decision_number").alias("nid"), F.col("chamber").alias("kind"))), {"ignoreNullFields": "false"}).alias("json"))
+    return rows.select("id", F.explode(I.seeds(F.col("json"), "nid string, kind string")).alias("s")).select("id", "s.nid", "s.kind")
+
+
+@registry.query("SELECT id, raw_path, text AS html FROM decisions")
+def archived_html(spark: SparkSession, directory: str) -> DataFrame:
+    """Pages archived under a name of their own beside the rows that name them."""
+    rows = table(spark, directory, "decisions")
+    named = rows.select("id", "raw_path", F.concat(F.lit("/raw/"), F.col("id").cast("string"), F.lit(".html")).alias("archived"), "text")
+    files = named.select(F.concat(F.lit("/other"), "archived").alias("path"), "text")
+    found = I.archived_pages(files, named.select("id", F.col("raw_path").alias("kept"), F.col("archived").alias("raw_path")))
+    return found.select("id", F.col("kept").alias("raw_path"), "html")
+
+
 @registry.query(f"SELECT verdict, level, count(*) AS n FROM ({MATCHES.sql['match_ladder']}) GROUP BY 1, 2")
 def match_statistics(spark: SparkSession, directory: str) -> DataFrame:
     return match_ladder(spark, directory).groupBy("verdict", "level").agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from lexmill.operators import load as O
 from lexmill.operators import search as Q
 from lexmill.plans.registry import Registry
 from lexmill.schemas import ARTICLES, COMPLETENESS, DOCUMENT_TYPES, DOCUMENTS, PROVENANCE, QUALITIES, RELATIONS, outside
+from lexmill.session import checkpoint_folder
 from lexmill.sources.tables import table
+from lexmill.streaming.loads import load_stream
 
 registry = Registry()
 
@@ -226,3 +230,15 @@ SELECT user_id, event_id, i * 2000000 + max(a - i * 2000000) OVER (PARTITION BY
 def limiter_schedule(spark: SparkSession, directory: str) -> DataFrame:
     arrivals = table(spark, directory, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("a"))
     return L.limited_starts(arrivals, ["user_id"], "a", "event_id", 2_000_000).select("user_id", "event_id", "start")
+
+
+@registry.query("""SELECT canonical_id, id AS first_id, source_url FROM (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY id) AS k FROM provenance WHERE canonical_id IS NOT NULL) WHERE k = 1""")
+def micro_batches(spark: SparkSession, directory: str) -> DataFrame:
+    """STR-04: provenance as a stream of files, loaded in micro-batches, then once more by another stream that adds nothing."""
+    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    source = f"{directory}/provenance.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 4).parquet(f"{directory}/[p]rovenance.parquet")  # a pattern may name a file or a folder
+    parse = lambda batch: batch.filter("canonical_id IS NOT NULL").select("canonical_id", F.col("id").alias("first_id"), "source_url")
+    for name in ("once", "again"):
+        load_stream(stream, parse, f"{folder}/table", ["canonical_id"], "first_id", f"{folder}/{name}").awaitTermination()
+    return spark.read.parquet(f"{folder}/table").select("canonical_id", "first_id", "source_url")

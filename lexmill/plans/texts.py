@@ -18,6 +18,7 @@ from lexmill.functions.fixed import (
 from lexmill.functions.patterns import boundless, portable
 from lexmill.plans import sqltext as S
 from lexmill.plans.registry import Registry
+from lexmill.sources.files import page_count
 from lexmill.sources.tables import table
 
 registry = Registry()
@@ -240,7 +241,7 @@ _FILE_SQL = "CASE WHEN text IS NULL THEN '' WHEN length(text) % 5 = 0 THEN 'x' E
 @registry.query(f"""WITH f AS (SELECT id, {_FILE_SQL} AS content FROM decisions), n AS (SELECT id, content, len(regexp_extract_all(content, '/Type\\s*/Page\\b')) AS pages,
   len(regexp_extract_all(content, '/Type\\s*/Font\\b')) AS fonts, len(regexp_extract_all(content, '/Subtype\\s*/Image\\b')) AS images FROM f)
 SELECT id, CASE WHEN fonts > 0 AND images <= pages THEN 'NATIVE' WHEN images >= pages AND fonts = 0 THEN 'SCANNED' ELSE 'HYBRID' END AS kind,
-  CASE WHEN substring(content, 1, 4) <> '%PDF' THEN 'magic' WHEN length(content) = 0 THEN 'empty' WHEN length(content) < 100 THEN 'small' END AS problem FROM n""")
+  CASE WHEN substring(content, 1, 4) <> '%PDF' THEN 'magic' WHEN length(content) = 0 THEN 'empty' WHEN length(content) < 100 THEN 'small' END AS problem, CAST(pages AS INTEGER) AS n_pages FROM n""")
 def pdf_checks(spark: SparkSession, directory: str) -> DataFrame:
     """Files rendered from all decisions, of all kinds and sizes."""
     size = F.coalesce(F.length("text"), F.lit(0))
@@ -248,7 +249,7 @@ def pdf_checks(spark: SparkSession, directory: str) -> DataFrame:
     fonts = F.when(col("text").isNotNull() & (size % 2 == 0), "/Type /Font ").otherwise("")
     content = F.encode(F.concat(start, fonts, F.repeat(F.lit("/Subtype /Image "), size % 3), F.repeat(F.lit(" "), size % 90)), "UTF-8")
     files = table(spark, directory, "decisions").select("id", content.alias("content"))
-    return files.select("id", C.pdf_kind(col("content")).alias("kind"), C.pdf_valid(col("content"), F.octet_length("content"), 100).alias("problem"))
+    return files.select("id", C.pdf_kind(col("content")).alias("kind"), C.pdf_valid(col("content"), F.octet_length("content"), 100).alias("problem"), page_count(col("content")).alias("n_pages"))
 
 
 # extraction

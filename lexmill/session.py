@@ -41,11 +41,12 @@ def find_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def checkpoint_folder(spark: SparkSession) -> None:
-    """Set the folder of the context: what ``spark.checkpoint.dir`` names, or one of this machine if the session is local."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The context's checkpoint folder, set first: what ``spark.checkpoint.dir`` names, or one of this machine if the session is local."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not context.master.startswith("local"):
@@ -53,6 +54,7 @@ def checkpoint_folder(spark: SparkSession) -> None:
         named = tempfile.mkdtemp(prefix="lexmill-checkpoint-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

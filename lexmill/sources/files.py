@@ -90,6 +90,16 @@ def seed_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def seeds(text: Column, schema: str) -> Column:
+    """SRC-14: the seeds of a JSON list as an array of structs; null if it is none."""
+    return F.from_json(text, f"array<struct<{', '.join(f'{n}: {t}' for n, t in (p.split() for p in schema.split(', ')))}>>")
+
+
+def page_count(content: Column) -> Column:
+    """SRC-15: pages of a PDF's bytes, by their objects; compressed object streams are not opened."""
+    return F.regexp_count(F.decode(content, "ISO-8859-1"), F.lit(r"/Type\s*/Page\b"))
+
+
 def binary_files(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
     """SRC-15: ``path, size, content`` of files."""
     read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
