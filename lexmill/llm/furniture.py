@@ -29,6 +29,8 @@ STOPS = ".:!?؟;؛"
 LEAST_LEFT = 3
 #: Share of its numbers that must be pages of their texts for a form to be one of page numbers.
 NUMBERING = 0.8
+#: Groups of letters that a line is judged by.
+MOST_LETTERS = 11
 #: Results that a task keeps.
 MEMO = 100_000
 _SIGNS = re.compile(r"[\W_]+")
@@ -155,7 +157,7 @@ class Layout:
         )
 
     def letters(self, k: int) -> list[str]:
-        squeezed = _SIGNS.sub("", head_part(self.forms[k])[:40])[:14].lower()
+        squeezed = _SIGNS.sub("", head_part(self.forms[k])[:40])[: MOST_LETTERS + 3].lower()
         return [squeezed[i : i + 4] for i in range(max(1, len(squeezed) - 3))]
 
 
@@ -200,6 +202,8 @@ class FurnitureModel:
     def __init__(self, model: AveragedPerceptron | None = None):
         self.model = model or AveragedPerceptron()
         self._kept: dict[tuple, float] = {}
+        #: What the letters of a line can add at most.
+        self._letters = MOST_LETTERS * max((w for f, w in self.model.weights.items() if "=" not in f), default=0.0)
 
     def lines(self, layout: Layout) -> list[bool]:
         """Which lines are furniture."""
@@ -212,9 +216,10 @@ class FurnitureModel:
                 if len(self._kept) > MEMO:
                     self._kept.clear()
                 score = self._kept[attributes] = self.model.score(spelled_features(attributes))
-            for f in layout.letters(k):
-                score += get(f, 0.0)
-            out[k] = score > 0
+            if score + self._letters > 0:  # else no letters make it furniture
+                for f in layout.letters(k):
+                    score += get(f, 0.0)
+                out[k] = score > 0
         return out
 
 

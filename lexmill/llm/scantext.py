@@ -97,7 +97,7 @@ def possible_breaks(lines: list[str], words: list[list[str]]):
 
 
 def looked_up(text: str) -> tuple[list[str], list[str], list[str], list[str]]:
-    """Bare words, pieces and wholes of words that a break may have split, those wholes to be edited, heads of the short lines."""
+    """Words, bare pieces and wholes of words that a break may have split, those wholes to be edited, heads of the short lines."""
     lines = text.split("\n")
     words = [find_words(line) for line in lines]
     split: list[str] = []
@@ -108,4 +108,4 @@ def looked_up(text: str) -> tuple[list[str], list[str], list[str], list[str]]:
         if near:
             joined += both
     heads = [head_part(skeleton(line)) for line in lines if 0 < len(line) <= MOST_LINE]
-    return [bare(w) for row in words for w in row], split, joined, [h for h in heads if h]
+    return [w for row in words for w in row], split, joined, [h for h in heads if h]
