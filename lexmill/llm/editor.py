@@ -155,7 +155,7 @@ def train_characters(
         add(word, right, others)
         if word != right:  # as if its true form were no known word
             add(word, right, [x for x in others if x[0] != right], right)
-    for word, others in lexicon.items():
+    for word, others in sorted(lexicon.items()):
         add(word, word, others, word)
         for ligature, letters in LIGATURES.items():
             if letters in word:  # the same word, scanned with a ligature
