@@ -193,7 +193,9 @@ def one_form(text: str) -> tuple[str, int, int]:
     text = _LINE_BREAK.sub("\n", _HYPHEN.sub("-", _SPACE.sub(" ", text)))
     mixed = whole = 0
     if _FOREIGN.search(text):
-        text, mixed, whole = consistent(text)
+        fixed, mixed, whole = consistent(text)
+        while fixed != text:  # letters put right may decide on other tokens
+            text, (fixed, *_) = fixed, consistent(fixed)
         text = _COMBINED.sub(lambda m: unicodedata.normalize("NFC", m[0]), text)
     return text, mixed, whole
 

@@ -27,6 +27,7 @@ from lexmill.llm.lookalikes import LATIN_FOR, LATIN_OWN, ORDINARY, SIGNS, SUSPEC
         ("hɑut ɡré ᴄode", "haut gré code"),
         ("/ɑ/ et ɡ", None),  # letters of a transcription that stand alone
         ("le cօnseil", "le conseil"),
+        ("νν.aaМ", "vv.aaM"),  # the mixed token put right makes the text Latin
         ("ՀԱՅԱՍՏԱՆ", None),
         ("12∕2003 ․", "12/2003 ."),
         ("دادگاه عالی برای رسیدگی به پرونده ها", None),  # Persian stays
