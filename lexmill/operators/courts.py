@@ -141,7 +141,7 @@ def review_documents(rows: DataFrame, texts: DataFrame, pages: DataFrame | None
 
 def patched_nodes(rows: DataFrame) -> DataFrame:
     """PRJ-05: number, date and year of the nodes whose page has none, only where the number is missing."""
-    patches = rows.sparkSession.createDataFrame(NODE_PATCHES, "nid int, p_number string, p_date string, p_year string")
+    patches = rows.sparkSession.createDataFrame(NODE_PATCHES, "nid long, p_number string, p_date string, p_year string")
     missing = F.nullif("decision_number", F.lit("")).isNull() & F.col("p_number").isNotNull()
     out = rows.join(F.broadcast(patches), "nid", "left")  # five rows
     for column in ("number", "date", "year"):

@@ -79,11 +79,11 @@ FROM b""")
 def council_records(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents").filter("source = 'conseildetat_html'")
     staged = documents.select(
-        F.col("doc_id").alias("id"), F.col("doc_id").cast("int").alias("nid"), F.lit("jurisprudence").alias("node_type"), F.col("document_number").alias("decision_number"),
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("nid"), F.lit("jurisprudence").alias("node_type"), F.col("document_number").alias("decision_number"),
         "date", F.col("year").cast("string").alias("year"), "chamber", "section", "keywords", "subject", "principle", F.col("canonical_hash").alias("pdf_hash"),
         F.lit(None).cast("string").alias("source_url"), F.lit(None).cast("string").alias("raw_path"),
     )
-    ocr = documents.select(F.col("doc_id").cast("int").alias("nid"), F.col("full_text").alias("text"), F.lit("ocr").alias("path"))
+    ocr = documents.select(F.col("doc_id").alias("nid"), F.col("full_text").alias("text"), F.lit("ocr").alias("path"))
     rows = council_documents(staged, ocr)
     return rows.select(F.col("provenance.source_id").alias("id"), "canonical_id", "title", "year", "extraction_quality")
 

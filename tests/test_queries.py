@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lexmill.sources.tables import TABLES, table
@@ -35,6 +36,17 @@ def test_query(spark, base, name):
         assert mine == sorted(tuple(_cell(r[i]) for i in order) for r in found.fetchall())
 
 
+@pytest.mark.parametrize(("name", "source", "key"), [("council_records", "documents", "doc_id")])
+def test_ids_beyond_32_bits(spark, tmp_path, name, source, key):
+    """Ids shifted beyond an INTEGER change nothing but the ids."""
+    far = 5_000_000_000
+    table(spark, SMALL, source).withColumn(key, F.col(key) + far).write.parquet(f"{tmp_path}/{source}.parquet")
+    mine, shifted = ([r.asDict() for r in CORE[name](spark, d).collect()] for d in (SMALL, str(tmp_path)))
+    ids = {"id", "source_page", "decision_number"}
+    plain = lambda rows, by: sorted(str({k: int(v) + by if k in ids else v for k, v in r.items()}) for r in rows)
+    assert len(mine) > 0 and plain(mine, far) == plain(shifted, 0)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
