@@ -191,7 +191,7 @@ def nearest_column(spark: SparkSession, directory: str) -> DataFrame:
 
     Two words stand within their column, one outside but near, one is too far from any.
     """
-    page = F.col("id").cast("int").alias("page")
+    page = F.col("id").alias("page")
     heads = [("رقم القارر", 0.0, 40.0), ("الصفحة", 50.0, 80.0), ("السنة", 90.0, 120.0), ("العدد", 130.0, 160.0)]
     rows = table(spark, directory, "revue_index")
 

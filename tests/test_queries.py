@@ -36,7 +36,7 @@ def test_query(spark, base, name):
         assert mine == sorted(tuple(_cell(r[i]) for i in order) for r in found.fetchall())
 
 
-@pytest.mark.parametrize(("name", "source", "key"), [("council_records", "documents", "doc_id")])
+@pytest.mark.parametrize(("name", "source", "key"), [("council_records", "documents", "doc_id"), ("nearest_column", "revue_index", "id")])
 def test_ids_beyond_32_bits(spark, tmp_path, name, source, key):
     """Ids shifted beyond an INTEGER change nothing but the ids."""
     far = 5_000_000_000
