@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import linkage
 from lexmill.llm.linkage import (
-    VOTES, LabelModel, candidates, common_numbers, decision_attributes, canonical_terms, full_year, index_attributes, link, numbers, pieces, profiled, split_terms, year_of,
+    VOTES, LabelModel, candidates, chance_votes, common_numbers, decision_attributes, canonical_terms, full_year, index_attributes, link, number_chance, numbers, pieces, profiled,
+    split_terms, votes, year_of,
 )
 
 CHAMBERS = [(1, "الغرفة المدنية", "Chambre civile"), (2, "الغرفة العقارية", "Chambre foncière"), (3, "الغرفة الجنائية", "Chambre criminelle")]
@@ -161,6 +162,36 @@ def test_a_pair_that_only_shares_a_number_is_not_linked(spark):
     assert len(found & {(i, 9000 + i) for i in range(300)}) > 290 and not any(a >= 300 for a, _ in found)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_chance_is_counted_over_all_pairs(spark, hot):
+    rng = random.Random(11)
+
+    def side(first, n):
+        out = []
+        for i in range(n):
+            terms = sorted(rng.sample(TERMS, rng.choice([0, 1, 2, 3, 3, 4, 8])))
+            nums = [111111] if hot and i % 3 == 0 else [200000 + rng.randrange(30) + 10 * 7 * i] if i % 5 else [333333, 444444, 2000000 + i]
+            out.append((first + i, nums if i % 7 else [], rng.choice([None, *range(1990, 1999)]), rng.choice([None, *range(1991, 2001)]), rng.choice([None, 1, 2, 3]), terms))
+        return out + out[:5]  # copies count
+
+    schema = "id long, nums array<long>, year int, issue int, chamber long, terms array<string>"
+    left, right = side(0, 70), side(1000, 60)
+    rows = spark.createDataFrame([("left", *r) for r in left] + [("right", *r) for r in right], "side string, " + schema)
+    unique, members = profiled(rows, canonical_terms(rows.limit(0)))
+    n = {"left": len(left), "right": len(right)}
+    got = chance_votes(unique, members, number_chance(rows, n))
+    a, b = (spark.createDataFrame(x, schema) for x in (left, right))
+    pairs = a.select(*[F.col(c).alias(f"l_{c}") for c in a.columns]).crossJoin(b.select(*[F.col(c).alias(f"r_{c}") for c in b.columns]))
+    every = pairs.select(*[v.alias(k) for k, v in votes().items()]).toPandas()
+    names = {x for x in got if "number" not in x}
+    assert len(names) == 10 and (not hot or {("number", x) for x in ("year", "delay", "chamber", "subject")} <= set(got))
+    for of, table in got.items():
+        held = every[(every[list(of)] != "").all(axis=1)] if "number" in of else every
+        want = held.groupby(list(of)).size().to_dict()
+        mine = table.groupby(list(of))["n"].sum()
+        assert {k: int(v) for k, v in mine.items() if v} == {k[0] if isinstance(k, tuple) and len(of) == 1 else k: v for k, v in want.items()}, of
+
+
 def test_model_needs_more_than_the_number():
     patterns = pd.DataFrame(
         [("same", "same", "usual", "same", "same", 90), ("same", "other", "other", "other", "none", 30), ("other", "other", "other", "other", "same", 40), ("same", "", "", "", "", 4)],
